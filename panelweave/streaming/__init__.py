@@ -1,0 +1 @@
+"""Empty on purpose: the work is batch over static survey files, there is no stream to process."""
