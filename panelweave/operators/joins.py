@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelweave.functions.recode import code_text
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null equals null; the keys come out once."""
@@ -100,3 +102,10 @@ def right_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
         present.unionAll(wanted).groupBy(*keys).agg(F.bit_or("__has").alias("__has")).filter("__has = 2").drop("__has")
     )
     return null_safe_join(left.unionByName(missing, allowMissingColumns=True), right, keys)
+
+
+def label_codes(df: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """Replace codes by the labels of `labels(code, label)`; a code without label stays as its number."""
+    named = labels.select(F.col("code").alias("__code"), F.col("label").alias("__label"))
+    joined = df.join(named, F.col(column) == F.col("__code"), "left")
+    return joined.withColumn(column, F.coalesce("__label", code_text(F.col(column)))).select(*df.columns)

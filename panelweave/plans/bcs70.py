@@ -13,7 +13,7 @@ from panelweave.operators.reshape import clean_to_long, unpivot
 from panelweave.operators.windows import earliest_with_ties
 from panelweave.plans import codings as c
 from panelweave.plans import dictionaries as d
-from panelweave.plans.common import Study, by_age, categorise, load, once
+from panelweave.plans.common import Study, by_age, categorise, load, once, with_iid
 from panelweave.sources.files import SurveyFiles
 
 ID = "bcsid"
@@ -194,14 +194,14 @@ def outcomes(files: SurveyFiles) -> DataFrame:
 
 
 def sample(files: SurveyFiles) -> DataFrame:
-    return outcomes(files).select("pid", F.col("pid").alias("iid"))
+    return with_iid(outcomes(files).select("pid"), ["pid"])
 
 
 def response(files: SurveyFiles) -> DataFrame:
     """Ages at which a person responded."""
     long = unpivot(outcomes(files), ["pid"]).filter("value = 1")
     sweep = to_int(str_sub(F.col("name"), 7, 8))
-    return long.select("pid", sweep_to_age(sweep, AGES).alias("fup"))
+    return with_iid(long.select("pid", sweep_to_age(sweep, AGES).alias("fup")), ["pid"])
 
 
 def harmonise(files: SurveyFiles) -> Study:

@@ -16,7 +16,9 @@ YES_ONE_NO_TWO_THREE = [([1], 2), ([2, 3], 1)]
 ORIENTATION_REVERSED = [([1, 4], SAME), ([2, 3], Minus(5))]
 ORIENTATION_SCALE = [([1, 2], 1), ([3], 2), ([4, 5], 3), ([6], 4)]
 
-# ethnicity
+# sex and ethnicity
+SEX_TWO = [([1, 2], SAME)]
+ETHNIC_SIX = [(Span(1, 6), SAME)]
 ETHNIC_EIGHT = [(Span(1, 3), SAME), (Span(4, 5), 4), (Span(6, 7), 5), ([8], 6)]
 ETHNIC_SIXTEEN = [
     (Span(1, 3), 1),

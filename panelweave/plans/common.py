@@ -29,6 +29,11 @@ def load(files: SurveyFiles, iid: str, **search) -> DataFrame:
     return files.load_joined(files.search(**search), iid).withColumnRenamed(iid, "pid")
 
 
+def with_iid(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the panel's person id: the person keys in one column."""
+    return df.withColumn("iid", F.col(keys[0]) if len(keys) == 1 else F.concat_ws("_", *keys))
+
+
 def by_age(df: DataFrame, attribute: str, labels: Sequence[str], ages: Mapping[int, Sequence[tuple]]) -> DataFrame:
     """One row per person and age; `ages` lists the sources of each age as (column, recode)."""
     columns = {

@@ -12,7 +12,7 @@ from panelweave.operators.joins import full_join_all
 from panelweave.operators.reshape import unpivot
 from panelweave.plans import codings as c
 from panelweave.plans import dictionaries as d
-from panelweave.plans.common import Study, by_age, categorise, load
+from panelweave.plans.common import Study, by_age, categorise, load, with_iid
 from panelweave.sources.files import SurveyFiles
 
 ID = "ncdsid"
@@ -185,14 +185,14 @@ def outcomes(files: SurveyFiles) -> DataFrame:
 
 
 def sample(files: SurveyFiles) -> DataFrame:
-    return outcomes(files).select("pid", F.col("pid").alias("iid"))
+    return with_iid(outcomes(files).select("pid"), ["pid"])
 
 
 def response(files: SurveyFiles) -> DataFrame:
     """Ages at which a person responded; the biomedical sweep at 44 has letters for a number."""
     long = unpivot(outcomes(files), ["pid"]).filter("value = 1")
     sweep = sweep_number(to_int(str_sub(F.col("name"), 7, 8)), 8)
-    return long.select("pid", sweep_to_age(sweep, AGES).alias("fup"))
+    return with_iid(long.select("pid", sweep_to_age(sweep, AGES).alias("fup")), ["pid"])
 
 
 def harmonise(files: SurveyFiles) -> Study:

@@ -11,7 +11,6 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelweave.functions.names import remove_first
 from panelweave.operators.reshape import pivot_wider
@@ -19,7 +18,7 @@ from panelweave.operators.reshape import pivot_wider
 # the reading functions travel with the tasks, executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-FOOTER = T.StructType.fromDDL(
+FOOTER = (
     "file_path string, pos int, variable string, label string, col_type string, "
     "value_labels array<struct<label:string,code:double>>"
 )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from panelweave.functions.names import select_matches, strip_suffix
 from panelweave.operators.combine import stack
-from panelweave.operators.joins import full_join_all
+from panelweave.operators.joins import full_join_all, label_codes
 from panelweave.operators.reshape import unpivot_multi_value
 
 
@@ -113,14 +113,10 @@ class SurveyFiles:
 
     def file_label(self, df: DataFrame, variable: Variable, column: str) -> DataFrame:
         """Replace a code by the label the file gives it; a code without label stays as its number."""
-        from panelweave.functions.recode import code_text
-
-        codes = self.labels.filter(
+        labels = self.labels.filter(
             (F.col("file_path") == variable.file_path) & (F.col("variable") == variable.variable)
-        ).select(F.col("code").alias("__code"), F.col("label").alias("__label"))
-        text = F.coalesce("__label", code_text(F.col(column)))
-        joined = df.join(codes, F.col(column) == F.col("__code"), "left")
-        return joined.withColumn(column, text).drop("__code", "__label")
+        )
+        return label_codes(df, labels, column)
 
 
 def chop(found: Sequence[Variable]) -> dict[str, list[str]]:

@@ -20,7 +20,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROWS_PER_TASK = 100_000
 ROWS_PER_BATCH = 10_000
 
-HEADER = T.StructType.fromDDL(
+HEADER = (
     "file_path string, pos int, variable string, label string, col_type string, "
     "value_labels array<struct<label:string,code:double>>, n_rows bigint"
 )
