@@ -1,10 +1,12 @@
 """Joins with the semantics survey tables need: null keys match, full joins over many tables.
 
-A full join of many tables is written as inner joins. For each table the keys it lacks are added as
-rows without attributes; after that every key exists everywhere and inner joins give the same rows
-as a chain of full joins. This way each table is shuffled once (an inner join keeps the partitioning
-of its input, a full join does not), the plan grows with the number of tables only, and Spark may
-split a partition that a hot key made too large, which it cannot do for a full join.
+A plain chain of full joins shuffles the growing result again at every step, and Spark cannot split
+a partition of a full join that a hot key made too large. Two other forms are used here:
+
+* Two tables: the keys a table lacks are added to it as rows without attributes. Then every key
+  exists on both sides and an inner join gives the rows of the full join.
+* Many tables of codes or categories: all rows go through one shuffle on the key. Equal rows are
+  counted before it, so a key with very many rows arrives as its few different ones.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.functions.recode import code_text
@@ -33,40 +35,59 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.select(*found, *rest)
 
 
-def _bit(index: int) -> Column:
-    return F.shiftleft(F.lit(1).cast("long"), index)
+def _missing_keys(present: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of `wanted` that `present` lacks, once each; null is a key like any other."""
+    marked = present.select(*keys, F.lit(1).alias("__has")).unionAll(wanted.select(*keys, F.lit(2).alias("__has")))
+    return marked.groupBy(*keys).agg(F.bit_or("__has").alias("__has")).filter("__has = 2").select(*keys)
+
+
+def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full join of two tables of any content."""
+    padded_left = left.unionByName(_missing_keys(left, right, keys), allowMissingColumns=True)
+    padded_right = right.unionByName(_missing_keys(right, left, keys), allowMissingColumns=True)
+    return null_safe_join(padded_left, padded_right, keys)
 
 
-def pad_missing_keys(frames: Sequence[DataFrame], keys: Sequence[str]) -> list[DataFrame]:
-    """Add to each frame the keys found in another frame only, with null attributes."""
-    if len(frames) > 62:
-        raise ValueError("at most 62 frames")
-    marked = [f.select(*keys, _bit(i).alias("__has")) for i, f in enumerate(frames)]
-    presence = reduce(DataFrame.unionAll, marked).groupBy(*keys).agg(F.bit_or("__has").alias("__has"))
-    padded = []
-    for i, frame in enumerate(frames):
-        absent = presence.filter(F.col("__has").bitwiseAND(_bit(i)) == 0).select(*keys)
-        padded.append(frame.unionByName(absent, allowMissingColumns=True))
-    return padded
+def right_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All rows of the right side, with the left side's attributes where it has the key."""
+    padded = left.unionByName(_missing_keys(left, right, keys), allowMissingColumns=True)
+    return null_safe_join(padded, right, keys)
 
 
 def full_join_all(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Full join of any number of frames on the same keys; repeated keys give all combinations."""
+    """Full join of any number of tables of codes or categories on the same keys.
+
+    Repeated keys give all combinations of their rows, as a chain of full joins would.
+    """
     if len(frames) == 1:
         return frames[0]
-    seen: set[str] = set()
-    for frame in frames:
-        names = set(frame.columns) - set(keys)
-        if names & seen:
-            raise ValueError(f"columns found in two frames: {sorted(names & seen)}")
-        seen |= names
-    return reduce(lambda a, b: null_safe_join(a, b, keys), pad_missing_keys(frames, keys))
+    columns = [[c for c in f.columns if c not in keys] for f in frames]
+    names = [c for cs in columns for c in cs]
+    if len(set(names)) < len(names):
+        raise ValueError(f"columns found in two tables: {sorted({c for c in names if names.count(c) > 1})}")
+    rows = [
+        f.select(*keys, F.struct(F.lit(True).alias("__in"), *cs).alias(f"__row{i}"))
+        for i, (f, cs) in enumerate(zip(frames, columns, strict=True))
+    ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    row_names = [f"__row{i}" for i in range(len(frames))]
+    counted = stacked.groupBy(*keys, *row_names).agg(F.count("*").alias("__n"))
+    lists = [
+        F.collect_list(F.when(F.col(r).isNotNull(), F.struct(F.col(r).alias("row"), F.col("__n").alias("n")))).alias(r)
+        for r in row_names
+    ]
+    gathered = counted.groupBy(*keys).agg(*lists)
+    for r in row_names:
+        gathered = gathered.withColumn(r, F.explode_outer(r))
+    copies = reduce(lambda a, b: a * b, [F.coalesce(F.col(f"{r}.n"), F.lit(1)) for r in row_names])
+    cells = [F.col(f"{r}.row.{c}").alias(c) for r, cs in zip(row_names, columns, strict=True) for c in cs]
+    expanded = gathered.select(*keys, *cells, F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("__copy"))
+    return expanded.drop("__copy")
 
 
 def natural_full_join(left: DataFrame, right: DataFrame) -> DataFrame:
     """Full join on the common columns: a table without a key column spreads over that key."""
-    keys = [c for c in left.columns if c in right.columns]
-    return full_join_all([left, right], keys)
+    return full_join(left, right, [c for c in left.columns if c in right.columns])
 
 
 def natural_full_join_all(frame: DataFrame, tables: Sequence[DataFrame]) -> DataFrame:
@@ -86,24 +107,10 @@ def natural_full_join_all(frame: DataFrame, tables: Sequence[DataFrame]) -> Data
 def full_join_coalesce(first: DataFrame, second: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Full join of two sources of one attribute; the first source wins where it has a value."""
     other = f"__{column}"
-    joined = full_join_all([first, second.withColumnRenamed(column, other)], keys)
+    joined = full_join(first, second.withColumnRenamed(column, other), keys)
     return joined.withColumn(column, F.coalesce(column, other)).drop(other)
 
 
-def right_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All rows of the right side, with the left side's attributes where it has the key.
-
-    The left side gets the right side's missing keys, then an inner join suffices (see above).
-    """
-    keys = list(keys)
-    wanted = right.select(*keys, F.lit(2).alias("__has"))
-    present = left.select(*keys, F.lit(1).alias("__has"))
-    missing = (
-        present.unionAll(wanted).groupBy(*keys).agg(F.bit_or("__has").alias("__has")).filter("__has = 2").drop("__has")
-    )
-    return null_safe_join(left.unionByName(missing, allowMissingColumns=True), right, keys)
-
-
 def label_codes(df: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     """Replace codes by the labels of `labels(code, label)`; a code without label stays as its number."""
     named = labels.select(F.col("code").alias("__code"), F.col("label").alias("__label"))

@@ -1,6 +1,6 @@
 """Registered queries: every operator run over the given tables, each with its SQL counterpart."""
 
-from panelweave.workload import catalogue, joining, published, recodes, reshaping  # noqa: F401
+from panelweave.workload import catalogue, joining, published, recodes, reshaping, study_rules  # noqa: F401
 from panelweave.workload.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

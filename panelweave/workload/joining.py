@@ -111,7 +111,7 @@ def full_join_two_key(spark, sf):
     orders = table(spark, sf, "orders").withColumn("fup", order_year())
     keys = ["o_custkey", "fup"]
     price = orders.filter("o_orderstatus = 'F'").groupBy(*keys).agg(F.max("o_totalprice").alias("price"))
-    return j.full_join_all([price, _priority_by_year(orders.filter("o_orderstatus = 'O'"))], keys)
+    return j.full_join(price, _priority_by_year(orders.filter("o_orderstatus = 'O'")), keys)
 
 
 @query(
