@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.functions.missing import is_null_or_in, negative_to_null, values_to_null
-from panelweave.functions.names import select_matches, str_sub, to_int
-from panelweave.functions.recode import first_match, recode, sweep_to_age
+from panelweave.functions.names import select_matches
+from panelweave.functions.recode import first_match
 from panelweave.operators.joins import full_join_all
-from panelweave.operators.reshape import clean_to_long, unpivot
+from panelweave.operators.reshape import clean_to_long
 from panelweave.operators.windows import earliest_with_ties
 from panelweave.plans import codings as c
 from panelweave.plans import dictionaries as d
-from panelweave.plans.common import Study, by_age, categorise, load, once, with_iid
+from panelweave.plans.common import Study, by_age, categorise, load, once, responded, with_iid
 from panelweave.sources.files import SurveyFiles
 
 ID = "bcsid"
@@ -73,14 +73,9 @@ def sexuality(files: SurveyFiles) -> DataFrame:
 def country(files: SurveyFiles) -> DataFrame:
     """The sweep is in the variable's name; sweep 10 has its own codes."""
     df = load(files, ID, var_low="bd.*cntry")
-    long = unpivot(df, ["pid"]).withColumn("sweep", to_int(str_sub(F.col("name"), 3, -6)))
-    value = values_to_null(negative_to_null(F.col("value")), [5, 6, 12])
-    code = first_match(
-        (F.col("sweep") < 10, value.cast("double")),
-        (F.col("sweep") == 10, recode(value, c.COUNTRY_WAVE_10)),
-    )
-    long = long.select("pid", sweep_to_age(F.col("sweep"), AGES).alias("fup"), code.alias("country"))
-    return categorise(long, "country", d.COUNTRY).na.drop()
+    sweeps = {int(v[2:-5]): v for v in df.columns if v != "pid"}
+    ages = {AGES[s - 1]: [(v, c.COUNTRY_FOUR if s < 10 else c.COUNTRY_WAVE_10)] for s, v in sweeps.items()}
+    return by_age(df, "country", d.COUNTRY, ages).na.drop()
 
 
 def fsm(files: SurveyFiles) -> DataFrame:
@@ -199,9 +194,8 @@ def sample(files: SurveyFiles) -> DataFrame:
 
 def response(files: SurveyFiles) -> DataFrame:
     """Ages at which a person responded."""
-    long = unpivot(outcomes(files), ["pid"]).filter("value = 1")
-    sweep = to_int(str_sub(F.col("name"), 7, 8))
-    return with_iid(long.select("pid", sweep_to_age(sweep, AGES).alias("fup")), ["pid"])
+    df = outcomes(files)
+    return responded(df, {v: AGES[int(v[6:8]) - 1] for v in df.columns if v != "pid"})
 
 
 def harmonise(files: SurveyFiles) -> Study:

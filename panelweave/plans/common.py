@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.functions.recode import Recode, code_to_category, recode_sources
-from panelweave.operators.reshape import clean_to_long
+from panelweave.functions.recode import Recode, code_to_category, lookup, recode_sources
+from panelweave.operators.reshape import clean_to_long, unpivot
 from panelweave.sources.files import SurveyFiles
 
 
@@ -34,6 +34,13 @@ def with_iid(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("iid", F.col(keys[0]) if len(keys) == 1 else F.concat_ws("_", *keys))
 
 
+def responded(outcomes: DataFrame, ages: Mapping[str, int]) -> DataFrame:
+    """Persons and ages whose outcome is 1; `ages` gives the age of each outcome column."""
+    age = lookup(F.col("name"), ages)
+    long = unpivot(outcomes, ["pid"], columns=list(ages)).filter("value = 1")
+    return with_iid(long.select("pid", age.alias("fup")), ["pid"])
+
+
 def by_age(df: DataFrame, attribute: str, labels: Sequence[str], ages: Mapping[int, Sequence[tuple]]) -> DataFrame:
     """One row per person and age; `ages` lists the sources of each age as (column, recode)."""
     columns = {

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelweave.functions.recode import lookup
 from panelweave.operators.reshape import window_grid
 from panelweave.plans.dictionaries import ATTRIBUTES, CATEGORIES, STUDIES
+from panelweave.plans.panel import sweep_ages
 
 HIDDEN = "No"
 BITS = 62  # ages per mask column
@@ -22,10 +23,19 @@ def display_names(counts: DataFrame, studies: Mapping = STUDIES, attributes: Map
     )
 
 
-def count_by_sweep(long: DataFrame, weight: str | None = None, hidden: str = HIDDEN) -> DataFrame:
-    """Rows of the long panel per study, age, attribute and value; `weight` if rows are counted already."""
-    n = F.sum(weight) if weight else F.count("*")
-    return long.filter(F.col("value") != hidden).groupBy("study", "fup", "name", "value").agg(n.alias("n"))
+def count_by_sweep(long: DataFrame, hidden: str = HIDDEN) -> DataFrame:
+    """Rows of the long panel per study, age, attribute and value."""
+    return long.filter(F.col("value") != hidden).groupBy("study", "fup", "name", "value").agg(F.count("*").alias("n"))
+
+
+def count_values_by_sweep(values: DataFrame, hidden: str = HIDDEN) -> DataFrame:
+    """The same from `responder_values`: its counts are summed first and spread over the ages after."""
+    sweeps = [c for c in values.columns if c not in ("study", "iid", "name", "value")]
+    summed = values.filter(F.col("value") != hidden).groupBy("study", "name", "value").agg(
+        *[F.sum(c).alias(c) for c in sweeps]
+    )
+    cells = summed.select("study", "name", "value", F.posexplode(F.array(*sweeps)).alias("sweep", "n"))
+    return cells.filter("n > 0").select("study", F.get(sweep_ages(), F.col("sweep")).alias("fup"), "name", "value", "n")
 
 
 def age_span(long: DataFrame) -> tuple[int, int]:
@@ -48,37 +58,34 @@ def observation_masks(long: DataFrame, keys: Sequence[str], first: int, last: in
     return long.groupBy(*keys).agg(*masks)
 
 
-def _ages_seen(first: int, last: int) -> Column:
-    masks = F.array(*[f"mask_{i}" for i in range((last - first) // BITS + 1)])
+def ages_observed(masks: DataFrame, first: int, last: int) -> DataFrame:
+    """The masks as a sorted array `ages`."""
+    words = [f"mask_{i}" for i in range((last - first) // BITS + 1)]
 
     def seen(age: Column) -> Column:
         offset = age - first
-        word = F.get(masks, F.floor(offset / BITS).cast("int"))
+        word = F.get(F.array(*words), F.floor(offset / BITS).cast("int"))
         return F.call_function("getbit", word, offset % BITS) == 1
 
-    return F.filter(F.sequence(F.lit(first), F.lit(last)), seen)
+    return masks.withColumn("ages", F.filter(F.sequence(F.lit(first), F.lit(last)), seen)).drop(*words)
 
 
-def window_counts(masks: DataFrame, first: int, last: int, hidden: str = HIDDEN) -> DataFrame:
-    """Persons per age window from their observation masks.
+def window_counts(observed: DataFrame, hidden: str = HIDDEN) -> DataFrame:
+    """Persons per age window; `observed` has study, name, value and the sorted `ages` of a person.
 
     A person counts in a window once, by the first observation inside it: an observation at age
     `fup` whose predecessor is at age `previous` is the first one of the windows with
     previous < low <= fup <= high. So observations are counted by (previous, fup) and only these
     few counts are expanded to windows, whatever the number of persons.
     """
-    ages = _ages_seen(first, last)
     steps = F.transform(
-        "ages",
-        lambda age, i: F.struct(
-            F.coalesce(F.get("ages", i - 1), F.lit(first - 1)).alias("previous"), age.alias("fup")
-        ),
+        "ages", lambda age, i: F.struct(F.get("ages", i - 1).alias("previous"), age.cast("int").alias("fup"))
     )
-    observed = masks.withColumn("ages", ages).select("study", "name", "value", F.inline(steps))
-    counted = observed.groupBy("study", "name", "value", "previous", "fup").agg(F.count("*").alias("n"))
+    pairs = observed.select("study", "name", "value", F.inline(steps))
+    counted = pairs.groupBy("study", "name", "value", "previous", "fup").agg(F.count("*").alias("n"))
     everything = Window.partitionBy()
     bounded = counted.withColumns({"first": F.min("fup").over(everything), "last": F.max("fup").over(everything)})
-    lows = F.sequence(F.greatest(F.col("previous") + 1, F.col("first")), F.col("fup"))
+    lows = F.sequence(F.coalesce(F.col("previous") + 1, F.col("first")), F.col("fup"))
     cells = (
         bounded.filter(F.col("value") != hidden)
         .withColumn("low", F.explode(lows))
@@ -90,7 +97,15 @@ def window_counts(masks: DataFrame, first: int, last: int, hidden: str = HIDDEN)
 def ever_in_window(long: DataFrame, first: int, last: int, hidden: str = HIDDEN) -> DataFrame:
     """Distinct persons per study, age window, attribute and value, observed at any age inside."""
     masks = observation_masks(long, ["study", "iid", "name", "value"], first, last)
-    return window_counts(masks, first, last, hidden)
+    return window_counts(ages_observed(masks, first, last), hidden)
+
+
+def values_ever_in_window(values: DataFrame, hidden: str = HIDDEN) -> DataFrame:
+    """The same from `responder_values`."""
+    sweeps = [c for c in values.columns if c not in ("study", "iid", "name", "value")]
+    counts = F.array(*sweeps)
+    ages = F.filter(sweep_ages(), lambda age, i: F.get(counts, i) > 0)
+    return window_counts(values.select("study", "name", "value", ages.alias("ages")), hidden)
 
 
 def published(counts: DataFrame, *keys: str) -> DataFrame:

@@ -6,13 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.functions.missing import keep_valid_values, negative_to_null, values_to_null
-from panelweave.functions.names import select_matches, str_sub, to_int
-from panelweave.functions.recode import Minus, Span, first_match, if_else, recode, sweep_to_age
+from panelweave.functions.names import select_matches
+from panelweave.functions.recode import Minus, Span, first_match
 from panelweave.operators.joins import full_join_all
-from panelweave.operators.reshape import unpivot
 from panelweave.plans import codings as c
 from panelweave.plans import dictionaries as d
-from panelweave.plans.common import Study, by_age, categorise, load, with_iid
+from panelweave.plans.common import Study, by_age, categorise, load, responded, with_iid
 from panelweave.sources.files import SurveyFiles
 
 ID = "ncdsid"
@@ -32,22 +31,18 @@ def sex(files: SurveyFiles) -> DataFrame:
     return files.file_label(df, found[0], "sex")
 
 
-def sweep_number(number: Column, unnumbered: int) -> Column:
-    """Sweeps are counted from 0 and the sweep at age 44 has no number of its own."""
-    shifted = F.when(number <= 6, number + 1).when(number >= 7, number + 2)
-    return F.coalesce(shifted, F.lit(unnumbered))
+def sweep_age(number: str, unnumbered: int) -> int:
+    """Age of a sweep from the digits in a name; sweeps count from 0 and the one at 44 has no digits."""
+    sweep = unnumbered if not number.isdigit() else int(number) + (1 if int(number) <= 6 else 2)
+    return AGES[sweep - 1]
 
 
 def country(files: SurveyFiles) -> DataFrame:
     """Region codes; the sweep is in the variable's name, the last one has no plain number."""
     df = load(files, ID, var_low="(n[0-8]region|nd9regn)")
-    df = df.withColumn("n6region", values_to_null(F.col("n6region"), [11]))
-    sweep = sweep_number(to_int(str_sub(F.col("name"), 2, -7)), 11)
-    long = unpivot(df, ["pid"]).withColumn("sweep", sweep)
-    value = negative_to_null(F.col("value"))
-    code = if_else(F.col("sweep") <= 4, recode(value, c.REGION_EARLY), recode(value, c.REGION_LATE))
-    long = long.select("pid", sweep_to_age(F.col("sweep"), AGES).alias("fup"), code.alias("country"))
-    return categorise(long, "country", d.COUNTRY).na.drop()
+    ages = {sweep_age(v[1:-6], 11): v for v in df.columns if v != "pid"}
+    coding = {age: c.REGION_EARLY if AGES.index(age) < 4 else c.REGION_LATE for age in ages}
+    return by_age(df, "country", d.COUNTRY, {age: [(v, coding[age])] for age, v in ages.items()}).na.drop()
 
 
 def fsm(files: SurveyFiles) -> DataFrame:
@@ -190,9 +185,8 @@ def sample(files: SurveyFiles) -> DataFrame:
 
 def response(files: SurveyFiles) -> DataFrame:
     """Ages at which a person responded; the biomedical sweep at 44 has letters for a number."""
-    long = unpivot(outcomes(files), ["pid"]).filter("value = 1")
-    sweep = sweep_number(to_int(str_sub(F.col("name"), 7, 8)), 8)
-    return with_iid(long.select("pid", sweep_to_age(sweep, AGES).alias("fup")), ["pid"])
+    df = outcomes(files)
+    return responded(df, {v: sweep_age(v[6:8], 8) for v in df.columns if v != "pid"})
 
 
 def harmonise(files: SurveyFiles) -> Study:

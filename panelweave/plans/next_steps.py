@@ -13,7 +13,7 @@ from panelweave.operators.reshape import clean_to_long, unpivot, unpivot_multi_v
 from panelweave.operators.windows import earliest_with_ties
 from panelweave.plans import codings as c
 from panelweave.plans import dictionaries as d
-from panelweave.plans.common import Study, by_age, categorise, load, with_iid
+from panelweave.plans.common import Study, by_age, categorise, load, responded, with_iid
 from panelweave.sources.files import SurveyFiles
 
 ID = "nsid"
@@ -143,8 +143,8 @@ def sample(files: SurveyFiles) -> DataFrame:
 
 def response(files: SurveyFiles) -> DataFrame:
     """Ages at which a person responded."""
-    long = unpivot(outcomes(files), ["pid"]).filter("value = 1")
-    return with_iid(long.select("pid", sweep_to_age(wave_of_name(), AGES).alias("fup")), ["pid"])
+    df = outcomes(files)
+    return responded(df, {v: AGES[int(v[1]) - 1] for v in df.columns if v != "pid"})
 
 
 def harmonise(files: SurveyFiles) -> Study:

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import mul
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelweave.operators.combine import stack, stack_tagged
@@ -50,56 +48,80 @@ def long_panel(panel: DataFrame) -> DataFrame:
     return unpivot(panel, PANEL_KEYS).na.drop()
 
 
-def responder_long(studies: Sequence[Study]) -> DataFrame:
-    """The long panel of responders straight from the attribute tables, without the wide one.
+def responder_values(studies: Sequence[Study]) -> DataFrame:
+    """The values of each responder straight from the attribute tables, without the wide panel.
 
-    `n` is the number of rows the wide panel has for the value: a person with two entries in one
-    table appears twice with each entry of every other table. Equal rows are counted before the
-    shuffle, after that a person has a few rows per age whatever the number of entries.
+    One row per person, attribute and value; `n0`, `n1`, ... say for each sweep of the study how many
+    rows the responder panel has for the value there. That is one, unless a person has several
+    entries in a table at an age: then each of them is combined with each entry of every other
+    table. Equal entries are counted before the shuffle, so a person arrives with a few rows,
+    whatever the number of entries.
     """
-    rows = stack([_stacked(s) for s in studies]).filter("pid IS NOT NULL AND cnum IS NOT NULL AND fup IS NOT NULL")
-    person_age = ["study", "pid", "cnum", "iid", "fup"]
-    counted = rows.groupBy(*person_age, "table", "name", "value").agg(
-        F.count("*").alias("n"), F.sum("first").alias("entries")
+    person, sweeps = ["study", "pid", "cnum"], range(max(len(AGES[s.name]) for s in studies))
+    rows = stack([_stacked(s) for s in studies])
+    here = [F.when(F.col("sweep").isin(EVERY_SWEEP, j), 1).otherwise(0) for j in sweeps]
+    counted = rows.groupBy(*person, "iid", "table", "name", "value").agg(
+        F.max("first").alias("first"), *[F.sum(h).alias(f"c{j}") for j, h in enumerate(here)]
     )
-    w = Window.partitionBy(*person_age)
-    tables = sorted({"response"}.union(*(s.clean for s in studies)))
-    entries = {t: F.sum(F.when(F.col("table") == t, F.col("entries"))).over(w) for t in tables}
-    counted = counted.withColumns({f"__{t}": e for t, e in entries.items()}).filter("__response >= 1")
-    copies = {t: F.greatest(F.col(f"__{t}"), F.lit(1)) for t in tables}
-    own = F.coalesce(*[F.when(F.col("table") == t, c) for t, c in copies.items()])
-    counted = counted.withColumns({"__all": reduce(mul, copies.values()), "__own": own})
-    return counted.filter("value IS NOT NULL").select(
-        *PANEL_KEYS, "name", "value", F.expr("n * (__all div __own)").alias("n")
+    counted = counted.repartition(*person)
+    by_person, by_table = Window.partitionBy(*person), Window.partitionBy(*person, "table")
+    counted = counted.withColumns(
+        {
+            "top": F.row_number().over(by_table.orderBy("name", "value")) == 1,
+            **{f"e{j}": F.sum(F.when(F.col("first"), F.col(f"c{j}"))).over(by_table) for j in sweeps},
+        }
     )
+    # A table without an entry leaves the others as they are, a sweep without response has no rows.
+    answered = F.col("table") == "response"
+    copies = {j: F.when(answered, F.col(f"e{j}")).otherwise(F.greatest(F.col(f"e{j}"), F.lit(1))) for j in sweeps}
+    counted = counted.withColumns(
+        {
+            "responded": F.max(answered).over(by_person),
+            **{f"all{j}": F.product(F.when(F.col("top"), copies[j])).over(by_person).cast("long") for j in sweeps},
+        }
+    )
+    rows_at = [F.expr(f"c{j} * (all{j} div greatest(e{j}, 1)) AS n{j}") for j in sweeps]
+    return counted.filter("responded AND value IS NOT NULL").select("study", "iid", "name", "value", *rows_at)
+
+
+EVERY_SWEEP = -1
 
 
 def _stacked(study: Study) -> DataFrame:
-    """The tables of a study below each other; a table without age or child holds for all of them."""
+    """The tables of a study below each other, the age as the sweep's place in the calendar.
+
+    A table without ages holds for every sweep, one without children for all children.
+    """
     children = len(study.keys) > 1
+    ages = F.array(*[F.lit(a) for a in AGES[study.name]])
     response = study.response.withColumn("response", F.lit("Yes"))
     frames = []
     for table, df in {**study.clean, "response": response}.items():
         names = [c for c in df.columns if c not in ("pid", "cnum", "iid", "fup")]
-        if "fup" not in df.columns:
-            df = spread_over(df, AGES[study.name], "fup")
+        sweep = F.array_position(ages, F.col("fup")) - 1 if "fup" in df.columns else F.lit(EVERY_SWEEP)
+        if "fup" in df.columns:
+            df = df.filter(F.col("fup").isin(AGES[study.name]))
         if children and "cnum" not in df.columns:
             df = spread_over(df, CHILDREN, "cnum")
         cells = [
-            F.struct(F.lit(c).alias("name"), F.col(c).alias("value"), F.lit(int(i == 0)).alias("first"))
+            F.struct(F.lit(c).alias("name"), F.col(c).alias("value"), F.lit(i == 0).alias("first"))
             for i, c in enumerate(names)
         ]
-        cnum = F.col("cnum") if children else F.lit(0)
-        iid = F.concat_ws("_", *study.keys) if children else F.col("pid")
         frames.append(
-            df.select(
+            df.filter(" AND ".join(f"{k} IS NOT NULL" for k in study.keys)).select(
                 F.lit(study.name).alias("study"),
                 F.col("pid").cast("string").alias("pid"),
-                cnum.cast("int").alias("cnum"),
-                iid.cast("string").alias("iid"),
-                F.col("fup").cast("int").alias("fup"),
+                (F.col("cnum") if children else F.lit(0)).cast("int").alias("cnum"),
+                (F.concat_ws("_", *study.keys) if children else F.col("pid")).cast("string").alias("iid"),
+                sweep.cast("int").alias("sweep"),
                 F.lit(table).alias("table"),
                 F.inline(F.array(*cells)),
             )
         )
     return stack(frames)
+
+
+def sweep_ages() -> Column:
+    """The ages of the row's study."""
+    pairs = [x for study, ages in AGES.items() for x in (F.lit(study), F.array(*[F.lit(a) for a in ages]))]
+    return F.create_map(*pairs)[F.col("study")]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from panelweave.operators.combine import stack_tagged
-from panelweave.plans.counts import age_span, count_by_sweep, observation_masks, window_counts
+from panelweave.plans.counts import age_span, ages_observed, count_by_sweep, observation_masks, window_counts
 from panelweave.sources.store import store
 from panelweave.workload.orders_panel import LONG_SQL, panel_long, person_long, person_study
 from panelweave.workload.registry import query, table
@@ -33,7 +33,8 @@ def persons_per_window(spark, sf):
     """
     first, last = age_span(person_long(spark, sf))
     masks = observation_masks(person_long(spark, sf), ["iid", "name", "value"], first, last)
-    return window_counts(masks.join(person_study(spark, sf), "iid"), first, last)
+    observed = ages_observed(masks, first, last).join(person_study(spark, sf), "iid")
+    return window_counts(observed)
 
 
 @query(

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from panelweave.plans import bcs70, mcs, ncds, next_steps
 from panelweave.plans import dictionaries as d
-from panelweave.plans.counts import count_by_sweep, ever_in_window, published
-from panelweave.plans.panel import responder_long, responder_panel, stack_studies
+from panelweave.plans.counts import count_values_by_sweep, published, values_ever_in_window
+from panelweave.plans.panel import responder_panel, responder_values, stack_studies
 from panelweave.workload.registry import SQL, query
 from panelweave.workload.survey_inputs import mcs_sql, source_sql, studies, survey_files
 
@@ -891,17 +891,12 @@ _LONG = f"""panel AS ({_PANEL}), long AS (SELECT study, iid, fup, unnest([{", ".
 _NAMES = f"{_named('study', d.STUDIES)} AS study_clean, {_named('name', d.ATTRIBUTES)} AS name_clean"
 
 
-def _first_last() -> tuple[int, int]:
-    ages = [a for ages in d.AGES.values() for a in ages]
-    return min(ages), max(ages)
-
-
 @query(
     f"WITH {_LONG} SELECT fup, {_NAMES}, value, count(*) AS n FROM known WHERE value <> 'No' GROUP BY study, name, fup, value"
 )
 def harmonised_counts(spark, sf):
     """Published counts per age of all four studies, from the source files to the table."""
-    return published(count_by_sweep(responder_long(studies(spark, sf)), weight="n"), "fup")
+    return published(count_values_by_sweep(responder_values(studies(spark, sf))), "fup")
 
 
 @query(
@@ -912,7 +907,7 @@ def harmonised_counts(spark, sf):
 )
 def harmonised_windows(spark, sf):
     """Published persons per window of ages of all four studies."""
-    return published(ever_in_window(responder_long(studies(spark, sf)), *_first_last()), "low", "high")
+    return published(values_ever_in_window(responder_values(studies(spark, sf))), "low", "high")
 
 
 @query(f"WITH panel AS ({_study_panel('ncds')} UNION ALL {_study_panel('bcs70')}) SELECT * EXCLUDE (gender_identity, carer) FROM panel")

@@ -332,15 +332,15 @@ def survey_files(spark: SparkSession, sf: str, study: str) -> SurveyFiles:
     """The derived files of a study, with the labels of the variables that need them."""
     family_file = "xwave/mcs_longitudinal_family_file"
     paths = list(INPUTS[study])
+    orders, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem")
 
     def read(path: str) -> DataFrame:
         if path == family_file:
-            orders = table(spark, sf, "orders")
             return orders.selectExpr("concat('P', o_orderkey) AS MCSID", "CAST(o_custkey % 4 AS DOUBLE) AS NOCMHH")
         file = paths.index(path)
         if study == "mcs" and not path.endswith(FAMILY_ROWS):
-            return _child_file(table(spark, sf, "lineitem"), path, file)
-        return _person_file(table(spark, sf, "orders"), study, path, file)
+            return _child_file(lines, path, file)
+        return _person_file(orders, study, path, file)
 
     columns = {path: [IDS[study], *INPUTS[study][path]] for path in paths}
     if study == "mcs":
