@@ -65,24 +65,20 @@ def full_join_all(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame
     names = [c for cs in columns for c in cs]
     if len(set(names)) < len(names):
         raise ValueError(f"columns found in two tables: {sorted({c for c in names if names.count(c) > 1})}")
-    rows = [
-        f.select(*keys, F.struct(F.lit(True).alias("__in"), *cs).alias(f"__row{i}"))
-        for i, (f, cs) in enumerate(zip(frames, columns, strict=True))
-    ]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
-    row_names = [f"__row{i}" for i in range(len(frames))]
-    counted = stacked.groupBy(*keys, *row_names).agg(F.count("*").alias("__n"))
+    tagged = [f.withColumn("__table", F.lit(i)) for i, f in enumerate(frames)]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    counted = rows.groupBy(*keys, "__table", *names).agg(F.count("*").alias("__n"))
     lists = [
-        F.collect_list(F.when(F.col(r).isNotNull(), F.struct(F.col(r).alias("row"), F.col("__n").alias("n")))).alias(r)
-        for r in row_names
+        F.collect_list(F.when(F.col("__table") == i, F.struct(*cs, "__n"))).alias(f"__rows{i}")
+        for i, cs in enumerate(columns)
     ]
     gathered = counted.groupBy(*keys).agg(*lists)
-    for r in row_names:
-        gathered = gathered.withColumn(r, F.explode_outer(r))
-    copies = reduce(lambda a, b: a * b, [F.coalesce(F.col(f"{r}.n"), F.lit(1)) for r in row_names])
-    cells = [F.col(f"{r}.row.{c}").alias(c) for r, cs in zip(row_names, columns, strict=True) for c in cs]
-    expanded = gathered.select(*keys, *cells, F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("__copy"))
-    return expanded.drop("__copy")
+    for i in range(len(frames)):
+        gathered = gathered.withColumn(f"__rows{i}", F.explode_outer(f"__rows{i}"))
+    copies = reduce(lambda a, b: a * b, [F.coalesce(F.col(f"__rows{i}.__n"), F.lit(1)) for i in range(len(frames))])
+    copy = F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("__copy")
+    cells = [F.col(f"__rows{i}.{c}").alias(c) for i, cs in enumerate(columns) for c in cs]
+    return gathered.select(*keys, *cells, copy).drop("__copy")
 
 
 def natural_full_join(left: DataFrame, right: DataFrame) -> DataFrame:
