@@ -901,9 +901,14 @@ def harmonised_counts(spark, sf):
 
 @query(
     f"""WITH {_LONG}, seen AS (SELECT DISTINCT study, iid, fup, name, value FROM known),
-    ages AS (SELECT CAST(unnest(range(min(fup), max(fup) + 1)) AS INTEGER) AS age FROM seen)
-    SELECT l.age AS low, h.age AS high, {_NAMES}, value, count(DISTINCT iid) AS n FROM seen
-    JOIN ages l ON l.age <= fup JOIN ages h ON h.age >= fup WHERE value <> 'No' GROUP BY l.age, h.age, study, name, value"""
+    ages AS (SELECT CAST(unnest(range(min(fup), max(fup) + 1)) AS INTEGER) AS age FROM seen),
+    sweeps AS (SELECT DISTINCT study, fup FROM seen),
+    sets AS (SELECT study, a.fup AS first, b.fup AS last FROM sweeps a JOIN sweeps b USING (study) WHERE a.fup <= b.fup),
+    persons AS (SELECT study, first, last, name, value, count(DISTINCT iid) AS n FROM seen JOIN sets USING (study)
+      WHERE fup BETWEEN first AND last AND value <> 'No' GROUP BY ALL),
+    windows AS (SELECT l.age AS low, h.age AS high, study, min(fup) AS first, max(fup) AS last FROM sweeps
+      JOIN ages l ON l.age <= fup JOIN ages h ON h.age >= fup GROUP BY ALL)
+    SELECT low, high, {_NAMES}, value, n FROM windows JOIN persons USING (study, first, last)"""
 )
 def harmonised_windows(spark, sf):
     """Published persons per window of ages of all four studies."""
