@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweave.llm import packing, simhash, warc
+from panelweave.llm import contamination, hostrules, packing, secrets, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -40,6 +40,20 @@ def op1_warc(spark, sf_dir):
     return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
 
 
+@query()
+def op2_decontamination(spark, sf_dir):
+    """Every document against every benchmark item, in windows of ten words."""
+    found = contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 @query()
 def op3_simhash(spark, sf_dir):
     """Every document's fingerprint and component of near-duplicates."""
@@ -47,6 +61,22 @@ def op3_simhash(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query()
+def op4_host_rules(spark, sf_dir):
+    """Every document's counts and verdict, with sources as hosts."""
+    found = hostrules.host_quality(table(spark, sf_dir, "documents"), host_col="source")
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate")
+
+
+@query()
+def op7_secrets(spark, sf_dir):
+    """Every document's secret spans."""
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"), reach=240)
+    strong = F.filter("spans", lambda x: x["rank"] < len(secrets.STRONG))
+    counts = [F.size(F.filter("spans", lambda x, k=k: x["rank"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(secrets.STRONG)]
+    return found.select("doc_id", *counts, F.sha2(secrets.joined_spans(strong), 256).alias("base_sha256"), secrets.joined_spans(F.col("spans")).alias("spans"))
+
+
 @query()
 def op10_packing(spark, sf_dir):
     """Every document's pieces and their places in sequences of 2048 tokens."""
