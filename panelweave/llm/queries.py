@@ -73,7 +73,11 @@ def op7_secrets(spark, sf_dir):
     """Every document's secret spans."""
     found = secrets.secret_spans(table(spark, sf_dir, "documents"), reach=240)
     strong = F.filter("spans", lambda x: x["rank"] < len(secrets.STRONG))
-    counts = [F.size(F.filter("spans", lambda x, k=k: x["rank"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(secrets.STRONG)]
+
+    def count(rank: int):
+        return F.size(F.filter("spans", lambda x: x["rank"] == rank)).cast("long")
+
+    counts = [count(rank).alias(f"n_{name}") for rank, name in enumerate(secrets.STRONG)]
     return found.select("doc_id", *counts, F.sha2(secrets.joined_spans(strong), 256).alias("base_sha256"), secrets.joined_spans(F.col("spans")).alias("spans"))
 
 
