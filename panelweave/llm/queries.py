@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweave.llm import contamination, hostrules, packing, secrets, simhash, warc
+from panelweave.llm import contamination, hostrules, licenses, lm, packing, secrets, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -81,6 +81,20 @@ def op7_secrets(spark, sf_dir):
     return found.select("doc_id", *counts, F.sha2(secrets.joined_spans(strong), 256).alias("base_sha256"), secrets.joined_spans(F.col("spans")).alias("spans"))
 
 
+@query()
+def op8_lm_scores(spark, sf_dir):
+    """Every document's log-probability, learned from four fifths of the documents."""
+    return lm.lm_scores(table(spark, sf_dir, "documents"), folds=5, held_out=1)
+
+
+@query()
+def op9_licenses(spark, sf_dir):
+    """Every document's license phrases and detections."""
+    found = licenses.license_scan(table(spark, sf_dir, "documents"))
+    labels = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *labels, "score", F.array_join("spans", ",").alias("spans"))
+
+
 @query()
 def op10_packing(spark, sf_dir):
     """Every document's pieces and their places in sequences of 2048 tokens."""
