@@ -40,6 +40,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(table: DataFrame, rows: int = 200_000) -> DataFrame:
+    """A written table of narrow rows, to be broadcast if it really has few, and joined by shuffle if not."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def lower_az(text: Column) -> Column:
     """A-Z in lower case, every other character as it is; null is empty."""
     text = F.coalesce(text, F.lit(""))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from panelweave.llm.common import NOT_WORD, lower_az, null_safe, words, written
+from panelweave.llm.common import NOT_WORD, lower_az, null_safe, small, words, written
 
 KEY = ["_id", "_hash"]  # a document: its id and the hash of its text, as ids may be null or repeated
 
@@ -52,8 +52,8 @@ def occurrences(docs: DataFrame, wins: DataFrame, window: int, shingle: int, id_
     Shingles of a window are ordered by how often they occur in the documents. Containment of the
     whole window leaves a prefix of one: its rarest shingle. Only that one is joined; a window with
     a shingle that no document has is out before. The join gives where the window would have to
-    start; bounds and then the words themselves decide. Spark broadcasts the written shingle
-    tables only below its size limit and shuffles beyond it.
+    start; bounds and then the words themselves decide. The shingle tables are broadcast
+    while their counted rows are few, and joined by shuffle beyond that.
     """
     only = wins.select("win").distinct()
     size = F.least(F.size("win"), F.lit(shingle))
@@ -67,7 +67,7 @@ def occurrences(docs: DataFrame, wins: DataFrame, window: int, shingle: int, id_
     tokens = written(places.select("win", "place", hashed.alias("h")), "window-shingles")
 
     shingles = document_shingles(docs, sizes, window, id_col, text_col)
-    counts = shingles.join(written(tokens.select("h").distinct(), "shingles"), "h", "left_semi").groupBy("h").agg(F.count("*").alias("n"))
+    counts = shingles.join(small(written(tokens.select("h").distinct(), "shingles")), "h", "left_semi").groupBy("h").agg(F.count("*").alias("n"))
     counts = written(counts, "shingle-counts")
     rarest = (
         tokens.join(counts, "h", "left")
@@ -77,7 +77,7 @@ def occurrences(docs: DataFrame, wins: DataFrame, window: int, shingle: int, id_
         .select("win", "t.h", "t.place")
     )
     rarest = written(rarest, "rarest-shingles")
-    found = shingles.join(rarest, "h").withColumn("back", F.col("place") - 1)
+    found = shingles.join(small(rarest), "h").withColumn("back", F.col("place") - 1)
     fits = (F.col("before") >= F.col("back")) & (F.size("near") - F.col("before") + F.col("back") >= F.size("win"))
     same = F.slice("near", F.greatest(F.col("before") - F.col("back") + 1, F.lit(1)), F.size("win")) == F.col("win")
     return found.where(fits & same).select(*KEY, (F.col("i") - F.col("back")).alias("start"), "win")
