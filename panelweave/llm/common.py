@@ -40,9 +40,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(table: DataFrame, rows: int = 200_000) -> DataFrame:
-    """A written table of narrow rows, to be broadcast if it really has few, and joined by shuffle if not."""
-    return F.broadcast(table) if table.count() <= rows else table
+def small(table: DataFrame, rows: int = 200_000, weight: Column | None = None) -> DataFrame:
+    """A written table of narrow rows, to be broadcast if it really has few, and joined by shuffle if not.
+
+    weight: how many narrow rows a row is worth, where it holds an array.
+    """
+    total = table.count() if weight is None else table.agg(F.sum(weight)).first()[0] or 0
+    return F.broadcast(table) if total <= rows else table
 
 
 def lower_az(text: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweave.llm import contamination, hostrules, licenses, lm, packing, secrets, simhash, toxicity, warc
+from panelweave.llm import contamination, hostrules, licenses, lm, packing, secrets, simhash, toxicity, warc, weaklabel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -68,6 +68,12 @@ def op4_host_rules(spark, sf_dir):
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate")
 
 
+@query()
+def op5_quality_classifier(spark, sf_dir):
+    """Every document's weak label, score and verdict; no given label is read."""
+    return weaklabel.quality_scores(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 @query()
 def op6_toxicity(spark, sf_dir):
     """Every document's toxicity, learned from the labels outside the held-out third."""

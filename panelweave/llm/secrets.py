@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelweave.llm.common import null_safe, written
+from panelweave.llm.common import null_safe, small, written
 
 SEPARATOR = r"""["']?\x20*[:=]\x20*["']?"""
 # Fixed patterns of the strong kinds, in their order.
@@ -106,6 +106,7 @@ def joined_spans(found: Column) -> Column:
 def redacted(docs: DataFrame, reach: int = 240, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """The documents with every span replaced by `mark`, overlapping spans as one; other columns as they were."""
     rows = spans(docs, reach, id_col, text_col).groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
+    rows = small(written(rows, "spans"), weight=F.size("_spans"))
     keyed = docs.withColumn("_key", F.xxhash64(text_col))
     joined = keyed.join(rows, keyed[id_col].eqNullSafe(rows["_id"]) & (keyed["_key"] == rows["_hash"]), "left")
     start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).cast("long").alias("at"))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.llm.common import components, written
+from panelweave.llm.common import components, small, written
 
 BITS = 64
 SEED = 42
@@ -229,9 +229,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
     """The documents with the smallest id of their component, all columns as they were.
 
-    Of rows that repeat that id with it, one stays; rows whose component has no id stay.
+    Of rows that repeat that id with it, one stays; rows with a null id stay.
     """
     found = near_duplicates(docs, id_col, text_col, shingle, distance)
-    keep = found.where(F.col("component_id") == F.col(id_col)).select(F.col(id_col).alias("_kept")).distinct()
-    kept = docs.join(keep, docs[id_col] == keep["_kept"], "left_semi")
-    return kept.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    out = small(written(found.where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_out")).distinct(), "duplicates"))
+    kept = docs.join(out, docs[id_col] == out["_out"], "left_anti")
+    repeated = written(docs.groupBy(id_col).agg(F.count("*").alias("n")).where(f"n > 1 AND `{id_col}` IS NOT NULL").select(F.col(id_col).alias("_many")), "repeated")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, kept[id_col] == repeated["_many"], "left_semi").dropDuplicates([id_col])
+    return kept.join(repeated, kept[id_col] == repeated["_many"], "left_anti").unionByName(once)
