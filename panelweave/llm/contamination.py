@@ -112,5 +112,5 @@ def without_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, sh
     """The documents in which no item window occurs, all columns as they were."""
     wins = written(item_windows(items, window, "item_id", "text"), "windows")
     hits = small(written(occurrences(docs, wins, window, shingle, id_col, text_col).select(*KEY).distinct(), "contaminated"))
-    keyed = docs.withColumn("_key", F.xxhash64(text_col))
-    return keyed.join(hits, keyed[id_col].eqNullSafe(hits["_id"]) & (keyed["_key"] == hits["_hash"]), "left_anti").drop("_key")
+    keyed = docs.withColumn("__row_key", F.xxhash64(text_col))
+    return keyed.join(hits, keyed[id_col].eqNullSafe(hits["_id"]) & (keyed["__row_key"] == hits["_hash"]), "left_anti").drop("__row_key")

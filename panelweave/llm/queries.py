@@ -40,7 +40,45 @@ def op1_warc(spark, sf_dir):
     return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
 
 
-@query()
+ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP2_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {ITEM_WORDS} AS w FROM documents),
+i AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {ITEM_WORDS} AS w FROM benchmark),
+wins AS (SELECT DISTINCT item, list_slice(w, k, k + 9) AS win
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM i WHERE len(w) > 0)),
+places AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT len(win) AS n FROM wins) WHERE len(w) >= n),
+hits AS (SELECT DISTINCT r, k, n, item FROM places JOIN wins ON list_slice(w, k, k + n - 1) = win),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS p FROM hits) GROUP BY r),
+found AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
+"""
+
+OP4_SQL = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+d AS (SELECT r, doc_id, source, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+places AS (SELECT r, w, unnest(range(1, len(w) - 3)) AS k FROM d WHERE len(w) >= 5),
+twice AS (SELECT r, k FROM (SELECT r, k, count(*) OVER (PARTITION BY r, list_slice(w, k, k + 4)) AS c FROM places) WHERE c > 1),
+repeats AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(k, k + 5)) AS p FROM twice) GROUP BY r),
+f AS (SELECT d.r, doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_lines, coalesce(repeats.n, 0) AS n_repeat_words FROM d LEFT JOIN repeats USING (r)),
+g AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR n_symbols > 0.1 * n_words OR n_dup_lines > 0.3 * n_lines
+    OR word_chars < 2 * n_words OR word_chars > 20 * n_words AS failed FROM f),
+h AS (SELECT source, count(*) AS n, sum(CAST(failed AS INTEGER)) AS failed FROM g GROUP BY source),
+m AS (SELECT (sum(failed) + 0.5) / (sum(n) + 1) AS mean, sum(failed) / sum(n) AS p, count(*) AS k, sum(n) AS n, sum(n * (failed / n) * (failed / n)) AS square FROM h),
+v AS (SELECT mean, square / n - p * p - mean * (1 - mean) * k / n AS spread FROM m),
+s AS (SELECT mean, CASE WHEN spread > 0 THEN least(greatest(mean * (1 - mean) / spread - 1, 2.0), 1e6) ELSE 1e6 END AS strength FROM v)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND (h.failed + mean * strength) / (h.n + strength) <= 0.5 AS kept
+FROM g JOIN h ON g.source IS NOT DISTINCT FROM h.source, s
+"""
+
+
+@query(OP2_SQL)
 def op2_decontamination(spark, sf_dir):
     """Every document against every benchmark item, in windows of ten words."""
     found = contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
@@ -61,11 +99,11 @@ def op3_simhash(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-@query()
+@query(OP4_SQL)
 def op4_host_rules(spark, sf_dir):
     """Every document's counts and verdict, with sources as hosts."""
     found = hostrules.host_quality(table(spark, sf_dir, "documents"), host_col="source")
-    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate")
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 @query()

@@ -105,10 +105,10 @@ def joined_spans(found: Column) -> Column:
 
 def redacted(docs: DataFrame, reach: int = 240, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """The documents with every span replaced by `mark`, overlapping spans as one; other columns as they were."""
-    rows = spans(docs, reach, id_col, text_col).groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
-    rows = small(written(rows, "spans"), weight=F.size("_spans"))
-    keyed = docs.withColumn("_key", F.xxhash64(text_col))
-    joined = keyed.join(rows, keyed[id_col].eqNullSafe(rows["_id"]) & (keyed["_key"] == rows["_hash"]), "left")
+    rows = spans(docs, reach, id_col, text_col).groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__spans"))
+    rows = small(written(rows, "spans"), weight=F.size("__spans"))
+    keyed = docs.withColumn("__row_key", F.xxhash64(text_col))
+    joined = keyed.join(rows, keyed[id_col].eqNullSafe(rows["_id"]) & (keyed["__row_key"] == rows["_hash"]), "left")
     start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def step(s: Column, x: Column) -> Column:
@@ -117,6 +117,6 @@ def redacted(docs: DataFrame, reach: int = 240, id_col: str = "doc_id", text_col
         out = F.when(fresh, F.concat(s["out"], F.array(kept, F.lit(mark)))).otherwise(s["out"])
         return F.struct(out.alias("out"), F.greatest(s["at"], x["end"]).alias("at"))
 
-    cut = F.aggregate("_spans", start, step, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(F.col(text_col), (s["at"] + 1).cast("int"), F.char_length(text_col))))
-    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(cut)
-    return joined.withColumn("_text", text).select(*[F.col("_text").alias(c) if c == text_col else keyed[c] for c in docs.columns])
+    cut = F.aggregate("__spans", start, step, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(F.col(text_col), (s["at"] + 1).cast("int"), F.char_length(text_col))))
+    text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(cut)
+    return joined.withColumn("__text", text).select(*[F.col("__text").alias(c) if c == text_col else keyed[c] for c in docs.columns])

@@ -100,16 +100,17 @@ def fit_labellers(codes: np.ndarray, n: np.ndarray, rounds: int = 200) -> tuple[
 
     Runs on the counts of vote patterns, 3^labellers at most however many documents there are. An
     abstention is no evidence. It starts from the majority of votes; a labeller is taken to be better
-    than chance and never perfect, so overlapping ones outvote each other by what they have earned.
+    than chance and never perfect, so overlapping ones outvote each other by what they have earned. At
+    least half of a corpus is taken to be good: without a bad vote nothing is likelier bad.
     """
     vote = digits(codes)
     sign = np.where(vote == GOOD, 1, np.where(vote == BAD, -1, 0))
     good = 1 / (1 + np.exp(-2.0 * sign.sum(1)))
     prior, accuracy = 0.5, np.full(vote.shape[1], 0.8)
     for _ in range(rounds):
-        prior = np.clip((n @ good + 1) / (n.sum() + 2), 0.05, 0.95)
+        prior = np.clip((n @ good + 1) / (n.sum() + 2), 0.5, 0.95)
         right = n[:, None] * np.where(sign > 0, good[:, None], np.where(sign < 0, 1 - good[:, None], 0))
-        accuracy = np.clip((right.sum(0) + 8) / ((n[:, None] * (sign != 0)).sum(0) + 10), 0.55, 0.995)
+        accuracy = np.clip((right.sum(0) + 8) / ((n[:, None] * (sign != 0)).sum(0) + 10), 0.6, 0.995)
         new = 1 / (1 + np.exp(-(np.log(prior / (1 - prior)) + sign @ np.log(accuracy / (1 - accuracy)))))
         if np.abs(new - good).max() < 1e-9:
             break
@@ -192,5 +193,5 @@ def without_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The documents that the classifier keeps, all columns as they were."""
     found = quality_scores(docs, id_col, text_col, fit_rows, threshold).where("NOT kept").select(F.col(id_col).alias("_id"), "text_hash").distinct()
     rejected = small(written(found, "rejected"))
-    keyed = docs.withColumn("_key", F.xxhash64(text_col))
-    return keyed.join(rejected, keyed[id_col].eqNullSafe(rejected["_id"]) & (keyed["_key"] == rejected["text_hash"]), "left_anti").drop("_key")
+    keyed = docs.withColumn("__row_key", F.xxhash64(text_col))
+    return keyed.join(rejected, keyed[id_col].eqNullSafe(rejected["_id"]) & (keyed["__row_key"] == rejected["text_hash"]), "left_anti").drop("__row_key")
