@@ -22,6 +22,7 @@ KINDS = {
     "VARCHAR": "string",
     "DOUBLE": "double",
     "TIMESTAMP": "timestamp",
+    "BOOLEAN": "boolean",
 }
 
 
