@@ -33,8 +33,11 @@ def letter_ordinal(letter: Column) -> Column:
 
 
 def remove_first(text: Column, pattern: str) -> Column:
-    """Remove the first match of a pattern."""
-    return F.regexp_replace(text, f"^(.*?)(?:{pattern})(.*)$", "$1$2")
+    """Remove the first match of a pattern, which may have groups and stand on any line."""
+    match = F.regexp_substr(text, F.lit(pattern))
+    at = F.regexp_instr(text, F.lit(pattern))
+    after = F.substring(text, at + F.char_length(match), F.char_length(text))
+    return F.when(match.isNull(), text).otherwise(F.concat(F.substring(text, F.lit(1), at - 1), after))
 
 
 def select_matches(names: Iterable[str], pattern: str) -> list[str]:

@@ -23,12 +23,23 @@ def unpivot(
     return df.unpivot(list(ids), columns, name, value)
 
 
+def _common_type(df: DataFrame, columns: Sequence[str]) -> T.DataType:
+    """The type that holds all columns: text if any is text, else what Spark widens them to."""
+    types = [df.schema[c].dataType for c in columns]
+    if len(set(types)) == 1:
+        return types[0]
+    if T.StringType() in types:
+        return T.StringType()
+    return df.select(F.coalesce(*[F.col(c) for c in columns])).schema[0].dataType
+
+
 def unpivot_multi_value(
     df: DataFrame, ids: Sequence[str], pattern: str = "(.)(.*)", tag: str = "sweep", keep: Sequence[str] = ()
 ) -> DataFrame:
     """Split column names into (tag, stem): one row per id and tag, one column per stem.
 
-    A stem that a tag does not have is null there. Columns in `keep` are carried along unsplit.
+    A stem that a tag does not have is null there. Columns in `keep` are carried along unsplit. Types
+    that differ are widened as Spark widens them; text and numbers come out as text.
     """
     stems: dict[str, dict[str, str]] = {}
     for column in df.columns:
@@ -39,11 +50,7 @@ def unpivot_multi_value(
             raise ValueError(f"column {column!r} does not match {pattern!r}")
         stems.setdefault(found.group(1), {})[found.group(2)] = column
     names = list(dict.fromkeys(stem for columns in stems.values() for stem in columns))
-    types = {s: next(df.schema[c[s]].dataType for c in stems.values() if s in c) for s in names}
-    for columns in stems.values():
-        for stem, column in columns.items():
-            if df.schema[column].dataType != types[stem]:
-                types[stem] = T.DoubleType()
+    types = {s: _common_type(df, [c[s] for c in stems.values() if s in c]) for s in names}
 
     def row(key: str, columns: dict[str, str]) -> Column:
         cells = [

@@ -7,17 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelweave.operators.joins import null_safe_join
-
 
 def earliest_with_ties(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """The rows of each key at its smallest `order` value, ties kept.
 
-    The minimum is aggregated before the shuffle and joined back, so a key with very many rows is
-    neither sorted nor held in one task.
+    One scan and one shuffle: Spark limits each group to its rank before the shuffle too, so of a key
+    with very many rows only the earliest of each task cross it. Nulls come last.
     """
-    first = df.groupBy(*keys).agg(F.min(order).alias(order))
-    return null_safe_join(df, first, [*keys, order]).select(*df.columns)
+    w = Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_last())
+    return df.withColumn("__rank", F.rank().over(w)).filter("__rank = 1").drop("__rank")
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -29,20 +27,21 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str | Co
     return df.withColumn("__row", F.row_number().over(w)).filter("__row = 1").drop("__row")
 
 
-def surrogate_id(df: DataFrame, key: str, name: str = "iid", parts: int = 32) -> DataFrame:
+def surrogate_id(df: DataFrame, key: str, name: str = "iid", parts: int | None = None, rows_per_part: int = 200_000) -> DataFrame:
     """Number the rows 1, 2, 3, ... in the order of a unique key, without one global sort.
 
     Rows go into buckets between sampled key values. The bucket is a function of the key alone, so
-    the sample decides how even the buckets are but never the numbers.
+    the sample decides how even the buckets are but never the numbers. There is a bucket for
+    each rows_per_part rows, a thousand at most for each of 50 sampled keys that reach the driver.
     """
     keys = df.select(key).filter(F.col(key).isNotNull())
-    fraction = min(1.0, 50 * parts / max(keys.count(), 1))
+    n = keys.count()
+    parts = parts or min(max(n // rows_per_part + 1, 8), 1000)
+    fraction = min(1.0, 50 * parts / max(n, 1))
     drawn = sorted(row[0] for row in keys.sample(fraction=fraction, seed=7).collect())
     step = max(len(drawn) // parts, 1)
     bounds = drawn[step::step]
-    bucket = F.lit(0)
-    for bound in bounds:
-        bucket = bucket + F.when(F.col(key) >= bound, 1).otherwise(0)
+    bucket = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: F.col(key) >= b)) if bounds else F.lit(0)
     rows = df.withColumn("__bucket", bucket)
     # as many rows as buckets
     before = F.sum("__n").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))

@@ -9,11 +9,10 @@ from panelweave.functions.missing import is_null_or_in, negative_to_null, values
 from panelweave.functions.names import select_matches
 from panelweave.functions.recode import first_match
 from panelweave.operators.joins import full_join_all
-from panelweave.operators.reshape import clean_to_long
 from panelweave.operators.windows import earliest_with_ties
 from panelweave.plans import codings as c
 from panelweave.plans import dictionaries as d
-from panelweave.plans.common import Study, by_age, categorise, load, once, responded, with_iid
+from panelweave.plans.common import Study, by_age, load, once, responded, with_iid
 from panelweave.sources.files import SurveyFiles
 
 ID = "bcsid"
@@ -41,20 +40,19 @@ def ethnicity(files: SurveyFiles) -> DataFrame:
         (mother.isNotNull() & other.isNotNull(), 2),
         (father.isNotNull() & other.isNotNull(), 2),
     )
-    at_16 = by_age(
+    reports = by_age(
         df,
         "ethnic_group",
         d.ETHNIC,
         {
+            10: age_10,
             5: [("e245", c.ETHNIC_BIRTH_COUNTRY)],
             16: [("oa3_1", c.ETHNIC_AGE_16), ("c6_14", c.ETHNIC_AGE_16_OBSERVED)],
             29: [("ethnic", c.ETHNIC_SIXTEEN)],
             34: [("bd7ethnic", c.ETHNIC_SIXTEEN)],
         },
     )
-    at_10 = clean_to_long(df.select("pid", age_10.alias("ethnic_group_10")), "ethnic_group", ["pid"])
-    reports = at_16.unionByName(categorise(at_10, "ethnic_group", d.ETHNIC)).na.drop()
-    return earliest_with_ties(reports, ["pid"], "fup").select("pid", "ethnic_group")
+    return earliest_with_ties(reports.na.drop(), ["pid"], "fup").select("pid", "ethnic_group")
 
 
 def sex(files: SurveyFiles) -> DataFrame:
@@ -71,10 +69,14 @@ def sexuality(files: SurveyFiles) -> DataFrame:
 
 
 def country(files: SurveyFiles) -> DataFrame:
-    """The sweep is in the variable's name; sweep 10 has its own codes."""
+    """The sweep is in the variable's name; sweep 10 has its own codes.
+
+    Two variables of one sweep give two rows; a name without the number of a sweep gives none, as
+    its age would be null.
+    """
     df = load(files, ID, var_low="bd.*cntry")
-    sweeps = {int(v[2:-5]): v for v in df.columns if v != "pid"}
-    ages = {AGES[s - 1]: [(v, c.COUNTRY_FOUR if s < 10 else c.COUNTRY_WAVE_10)] for s, v in sweeps.items()}
+    sweeps = [(int(v[2:-5]), v) for v in df.columns if v != "pid" and v[2:-5].isdigit()]
+    ages = [(AGES[s - 1], [(v, c.COUNTRY_FOUR if s < 10 else c.COUNTRY_WAVE_10)]) for s, v in sweeps if 1 <= s <= len(AGES)]
     return by_age(df, "country", d.COUNTRY, ages).na.drop()
 
 

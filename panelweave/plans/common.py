@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.functions.recode import Recode, code_to_category, lookup, recode_sources
-from panelweave.operators.reshape import clean_to_long, unpivot
+from panelweave.operators.reshape import unpivot
 from panelweave.sources.files import SurveyFiles
 
 
@@ -41,14 +41,23 @@ def responded(outcomes: DataFrame, ages: Mapping[str, int]) -> DataFrame:
     return with_iid(long.select("pid", age.alias("fup")), ["pid"])
 
 
-def by_age(df: DataFrame, attribute: str, labels: Sequence[str], ages: Mapping[int, Sequence[tuple]]) -> DataFrame:
-    """One row per person and age; `ages` lists the sources of each age as (column, recode)."""
-    columns = {
-        f"{attribute}_{age:02d}": recode_sources(*((F.col(c), recode) for c, recode in sources))
-        for age, sources in ages.items()
-    }
-    wide = df.select("pid", *[code.alias(name) for name, code in columns.items()])
-    return categorise(clean_to_long(wide, attribute, ["pid"]), attribute, labels)
+def by_age(
+    df: DataFrame,
+    attribute: str,
+    labels: Sequence[str],
+    ages: Mapping[int, Sequence[tuple] | Column] | Sequence[tuple[int, Sequence[tuple] | Column]],
+) -> DataFrame:
+    """One row per person and entry of `ages`, which gives an age and its code.
+
+    A code is a ready column or a list of sources as (column, recode). Two entries of one age give two
+    rows. All entries come from one projection.
+    """
+    entries = ages.items() if isinstance(ages, Mapping) else ages
+    cells = []
+    for age, code in entries:
+        code = code if isinstance(code, Column) else recode_sources(*((F.col(c), recode) for c, recode in code))
+        cells.append(F.struct(F.lit(age).alias("fup"), code.cast("double").alias(attribute)))
+    return categorise(df.select("pid", F.inline(F.array(*cells))), attribute, labels)
 
 
 def once(df: DataFrame, attribute: str, labels: Sequence[str], *sources: tuple[str, Recode]) -> DataFrame:

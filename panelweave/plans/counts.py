@@ -47,9 +47,11 @@ def age_span(long: DataFrame) -> tuple[int, int]:
 def observation_masks(long: DataFrame, keys: Sequence[str], first: int, last: int) -> DataFrame:
     """Per key the ages it was observed at, as bits of fixed-size numbers.
 
-    The bits are combined before the shuffle, so each key crosses it once per map task at most.
+    The bits are combined before the shuffle, so each key crosses it once per map task at most. An age
+    outside first..last fails the query; a null age is no observation.
     """
-    offset = F.col("fup") - first
+    outside = F.raise_error(F.concat(F.lit(f"age outside {first}..{last}: "), F.col("fup").cast("string"))).cast("int")
+    offset = F.when(F.col("fup").isNull() | F.col("fup").between(first, last), F.col("fup") - first).otherwise(outside)
     masks = []
     for i in range((last - first) // BITS + 1):
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), offset - i * BITS)
@@ -83,8 +85,9 @@ def window_counts(observed: DataFrame, hidden: str = HIDDEN) -> DataFrame:
     )
     pairs = observed.select("study", "name", "value", F.inline(steps))
     counted = pairs.groupBy("study", "name", "value", "previous", "fup").agg(F.count("*").alias("n"))
-    everything = Window.partitionBy()
-    bounded = counted.withColumns({"first": F.min("fup").over(everything), "last": F.max("fup").over(everything)})
+    # One row of bounds over these counts, as scalar subqueries on the same aggregate.
+    bounds = [counted.agg(f("fup")).scalar() for f in (F.min, F.max)]
+    bounded = counted.withColumns({"first": bounds[0], "last": bounds[1]})
     lows = F.sequence(F.coalesce(F.col("previous") + 1, F.col("first")), F.col("fup"))
     cells = (
         bounded.filter(F.col("value") != hidden)
@@ -115,10 +118,9 @@ def published(counts: DataFrame, *keys: str) -> DataFrame:
 
 def age_windows(long: DataFrame) -> DataFrame:
     """All windows between the smallest and largest age observed, for each study."""
-    span = Window.partitionBy()
     studies = long.groupBy("study").agg(F.min("fup").alias("first"), F.max("fup").alias("last"))
-    bounds = studies.select("study", F.min("first").over(span).alias("first"), F.max("last").over(span).alias("last"))
-    return window_grid(bounds).select("study", "low", "high")
+    bounds = [studies.agg(f).scalar() for f in (F.min("first"), F.max("last"))]
+    return window_grid(studies.select("study", bounds[0].alias("first"), bounds[1].alias("last"))).select("study", "low", "high")
 
 
 def category_levels(spark: SparkSession, categories: Mapping[str, Sequence[str]] = CATEGORIES) -> DataFrame:

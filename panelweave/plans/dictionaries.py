@@ -13,9 +13,8 @@ AGES = {
     "ncds": [0, 7, 11, 16, 23, 33, 42, 44, 46, 50, 55],
 }
 
-STUDIES = {"mcs": "MCS", "next_steps": "Next Steps", "bcs70": "BCS70", "ncds": "NCDS", "Total": "Total"}
+STUDIES = {"mcs": "MCS", "next_steps": "Next Steps", "bcs70": "BCS70", "ncds": "NCDS"}
 
-STATISTICS = {"n": "N", "prop": "% Observations"}
 
 ATTRIBUTES = {
     "response": "Respondent",

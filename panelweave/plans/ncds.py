@@ -31,18 +31,21 @@ def sex(files: SurveyFiles) -> DataFrame:
     return files.file_label(df, found[0], "sex")
 
 
-def sweep_age(number: str, unnumbered: int) -> int:
+def sweep_age(number: str, unnumbered: int) -> int | None:
     """Age of a sweep from the digits in a name; sweeps count from 0 and the one at 44 has no digits."""
     sweep = unnumbered if not number.isdigit() else int(number) + (1 if int(number) <= 6 else 2)
-    return AGES[sweep - 1]
+    return AGES[sweep - 1] if sweep <= len(AGES) else None
 
 
 def country(files: SurveyFiles) -> DataFrame:
-    """Region codes; the sweep is in the variable's name, the last one has no plain number."""
+    """Region codes; the sweep is in the variable's name, the last one has no plain number.
+
+    Two variables of one sweep give two rows; one past the last sweep has no age and gives none.
+    """
     df = load(files, ID, var_low="(n[0-8]region|nd9regn)")
-    ages = {sweep_age(v[1:-6], 11): v for v in df.columns if v != "pid"}
-    coding = {age: c.REGION_EARLY if AGES.index(age) < 4 else c.REGION_LATE for age in ages}
-    return by_age(df, "country", d.COUNTRY, {age: [(v, coding[age])] for age, v in ages.items()}).na.drop()
+    found = [(sweep_age(v[1:-6], 11), v) for v in df.columns if v != "pid"]
+    ages = [(a, [(v, c.REGION_EARLY if AGES.index(a) < 4 else c.REGION_LATE)]) for a, v in found if a is not None]
+    return by_age(df, "country", d.COUNTRY, ages).na.drop()
 
 
 def fsm(files: SurveyFiles) -> DataFrame:

@@ -77,13 +77,20 @@ def responder_values(studies: Sequence[Study]) -> DataFrame:
     counted = counted.withColumns(
         {
             "responded": F.max(answered).over(by_person),
-            **{f"all{j}": F.product(F.when(F.col("top"), copies[j])).over(by_person).cast("long") for j in sweeps},
+            **{f"all{j}": _times(F.collect_list(F.when(F.col("top"), copies[j])).over(by_person)) for j in sweeps},
         }
     )
     rows_at = [F.expr(f"c{j} * (all{j} div greatest(e{j}, 1)) AS n{j}") for j in sweeps]
     return counted.filter("responded AND value IS NOT NULL").select("study", "iid", "name", "value", *rows_at)
 
 
+def _times(factors: Column) -> Column:
+    """Product of one whole number per table; beyond the range of bigint the query fails, never rounds."""
+    one = F.lit(1).cast("decimal(38,0)")
+    product = F.aggregate(factors, one, lambda a, b: (a * b).cast("decimal(38,0)"))
+    return F.when(product <= (1 << 63) - 1, product).otherwise(F.raise_error(F.lit("more rows than bigint holds")).cast("long")).cast("long")
+
+
 EVERY_SWEEP = -1
 
 

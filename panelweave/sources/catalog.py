@@ -13,13 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelweave.functions.names import remove_first
-from panelweave.operators.reshape import pivot_wider
 
 # the reading functions travel with the tasks, executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FOOTER = (
-    "file_path string, pos int, variable string, label string, col_type string, "
+    "file_path string, fld string, dta string, pos int, variable string, label string, col_type string, "
     "value_labels array<struct<label:string,code:double>>"
 )
 SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
@@ -31,14 +30,22 @@ def study_roots(settings: Mapping[str, str], ending: str = "_fld") -> dict[str,
 
 
 def find_files(spark: SparkSession, root: str, extension: str) -> DataFrame:
-    """Paths of all files below a folder with the extension; no content is read."""
-    return (
+    """All files below a folder with the extension; no content is read.
+
+    A folder with the extension, as Spark writes them, is one file of several parts: `file_path` is
+    the folder and `part` the first of them, which has the header of all.
+    """
+    found = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*.{extension}")
         .load(root)
-        .select(F.col("path").alias("file_path"))
+        .select("path")
     )
+    above = F.substring_index("path", root.rstrip("/") + "/", 1)
+    below = F.expr("substring(path, char_length(above) + 1)")
+    whole = F.concat("above", F.regexp_extract(below, rf"^(.*?\.{extension})(/|$)", 1))
+    return found.withColumn("above", above).groupBy(whole.alias("file_path")).agg(F.min("path").alias("part"))
 
 
 def split_path(files: DataFrame, root: str, extension: str) -> DataFrame:
@@ -71,8 +78,8 @@ def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
 
     for batch in batches:
-        for path in batch["file_path"]:
-            filesystem, name = fs.FileSystem.from_uri(path)
+        for path, part, fld, dta in batch[["file_path", "part", "fld", "dta"]].itertuples(index=False):
+            filesystem, name = fs.FileSystem.from_uri(part)
             schema = pq.read_schema(name, filesystem=filesystem)
             stored = (schema.metadata or {}).get(SPARK_SCHEMA)
             fields = json.loads(stored)["fields"] if stored else []
@@ -80,6 +87,8 @@ def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(
                 {
                     "file_path": path,
+                    "fld": fld,
+                    "dta": dta,
                     "pos": range(1, len(schema.names) + 1),
                     "variable": schema.names,
                     "label": [notes.get(n, {}).get("label") for n in schema.names],
@@ -90,8 +99,8 @@ def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def parquet_headers(paths: DataFrame) -> DataFrame:
-    """One row per column of each Parquet file; the footers are read in parallel tasks."""
-    return paths.select("file_path").mapInPandas(_footers, FOOTER)
+    """One row per column of each Parquet file; the footers are read in parallel tasks, one per file."""
+    return paths.select("file_path", "part", "fld", "dta").mapInPandas(_footers, FOOTER)
 
 
 def catalog_variables(
@@ -104,8 +113,8 @@ def catalog_variables(
     for study, root in roots.items():
         files = split_path(find_files(spark, f"{root.rstrip('/')}/{below}", extension), root, extension)
         files = files.repartition("file_path")
-        headers = stata_headers(files) if extension == "dta" else parquet_headers(files)
-        studies.append(files.join(headers, "file_path").withColumn("study", F.lit(study)))
+        headers = files.drop("part").join(stata_headers(files), "file_path") if extension == "dta" else parquet_headers(files)
+        studies.append(headers.withColumn("study", F.lit(study)))
     catalog = reduce(DataFrame.unionByName, studies)
     return catalog.filter("variable <> '_row'").select(
         "study",
@@ -139,9 +148,24 @@ def value_labels(catalog: DataFrame) -> DataFrame:
     )
 
 
-def labels_to_grid(labels: DataFrame, variables: Sequence[str]) -> DataFrame:
-    """Codes against variables, to compare the codings of several files."""
-    return pivot_wider(labels, ["code"], "variable", "label", variables).orderBy("code")
+def labels_to_grid(labels: DataFrame, variables: Sequence[str | tuple[str, str]]) -> DataFrame:
+    """Codes against variables, to compare the codings of several files.
+
+    A variable that stands in several files is given as (file_path, variable) and gets a column for
+    each, named `<file>.<variable>`. Two labels of one code stand side by side, divided by " / ".
+    """
+    columns = {(None, v) if isinstance(v, str) else tuple(v): v if isinstance(v, str) else f"{_file_name(v[0])}.{v[1]}" for v in variables}
+    cells = []
+    for (path, variable), name in columns.items():
+        here = F.col("variable") == variable
+        here = here if path is None else here & (F.col("file_path") == path)
+        found = F.array_join(F.array_sort(F.collect_set(F.when(here, F.col("label")))), " / ")
+        cells.append(F.nullif(found, F.lit("")).alias(name))
+    return labels.groupBy("code").agg(*cells).orderBy("code")
+
+
+def _file_name(path: str) -> str:
+    return path.rstrip("/").rpartition("/")[2].rpartition(".")[0] or path
 
 
 def write_lookup_csv(catalog: DataFrame, path: str) -> None:

@@ -128,8 +128,8 @@ def chop(found: Sequence[Variable]) -> dict[str, list[str]]:
 
 
 def read_with_row(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet survey file with its physical row number, unless it carries one."""
+    """A Parquet survey file with its physical place, unless it carries one: part and row within it."""
     df = spark.read.parquet(path)
     if "_row" in df.columns:
         return df
-    return df.select("*", F.col("_metadata.row_index").alias("_row"))
+    return df.select("*", F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("_row"))

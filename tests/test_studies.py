@@ -90,12 +90,12 @@ def test_stata_catalogue_and_conversion(spark, tmp_path, monkeypatch):
     assert [r.W8DCTRY for r in got] == [None, 1.0, 2.0, -1.0] * 25
 
     parquet = tmp_path / "parquet" / "eul"
-    store(data.coalesce(1), "ns8_main", path=str(parquet / "ns8_main.parquet"))
-    part = next(parquet.rglob("*.parquet/part-*.parquet"))
+    store(data.repartition(3), "ns8_main", path=str(parquet / "ns8_main.parquet"))
+    assert len(list(parquet.rglob("*.parquet/part-*.parquet"))) == 3
     again = catalog_variables(spark, {"next_steps": str(tmp_path / "parquet")})
     row = search_catalog(again, variable="^W8DCTRY$").first()
     assert row.label == "Country" and [v.label for v in row.value_labels] == ["England", "Wales"]
-    assert row.file_path.endswith(part.name)
+    assert row.file_path.endswith("eul/ns8_main.parquet") and (row.fld, row.dta) == ("eul", "ns8_main")
     files = SurveyFiles.from_catalog(spark, again, "next_steps", value_labels(again))
     from panelweave.plans import next_steps
 
