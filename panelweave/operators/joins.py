@@ -49,9 +49,12 @@ def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def right_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All rows of the right side, with the left side's attributes where it has the key."""
-    padded = left.unionByName(_missing_keys(left, right, keys), allowMissingColumns=True)
-    return null_safe_join(padded, right, keys)
+    """All rows of the right side, with the left side's attributes where it has the key.
+
+    A left join from the right side: one scan and one shuffle of each, and Spark may split a hot key.
+    """
+    rest = [c for c in left.columns if c not in keys] + [c for c in right.columns if c not in keys]
+    return null_safe_join(right, left, keys, "left").select(*keys, *rest)
 
 
 def full_join_all(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

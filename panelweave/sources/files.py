@@ -39,7 +39,7 @@ class SurveyFiles:
         self, variables: Sequence[Variable], read: Callable[[str], DataFrame], labels: DataFrame | None = None
     ):
         self.variables = list(variables)
-        self._read = read
+        self.open = read
         self.labels = labels
 
     @classmethod
@@ -77,7 +77,7 @@ class SurveyFiles:
 
     def load(self, path: str, ids: str, variables: Sequence[str] | None = None, row: bool = False) -> DataFrame:
         """Columns matching `ids` and the wanted ones (all if None) of a file, names in lower case."""
-        df = self._read(path)
+        df = self.open(path)
         names = [c for c in df.columns if c != "_row"]
         keys = select_matches(names, ids)
         rest = [c for c in names if c not in keys and (variables is None or c in variables)]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from panelweave.plans.common import Study
 from panelweave.plans.dictionaries import AGES
 from panelweave.sources.files import SurveyFiles, Variable
+from panelweave.sources.joined import joined_once
 from panelweave.workload.registry import table
 
 
@@ -356,7 +357,13 @@ def studies(spark: SparkSession, sf: str, names: tuple[str, ...] = tuple(AGES))
     from panelweave.plans import bcs70, mcs, ncds, next_steps
 
     plans = {"mcs": mcs, "next_steps": next_steps, "bcs70": bcs70, "ncds": ncds}
-    return [plans[n].harmonise(survey_files(spark, sf, n)) for n in names]
+    found = []
+    for name in names:
+        plan, files = plans[name], survey_files(spark, sf, name)
+        if name != "mcs":  # one record per person and file
+            files = joined_once(spark, files, plan.ID, plan.harmonise)
+        found.append(plan.harmonise(files))
+    return found
 
 
 def source_sql(study: str, *wanted: str) -> str:
