@@ -35,6 +35,9 @@ HEADLINE = [
     "code_to_category",
     "bcs70_marstat",
     "mcs_religion",
+    "harmonised_counts",
+    "harmonised_windows",
+    "harmonised_panel",
 ]
 
 
@@ -47,7 +50,7 @@ def seconds(run) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     spark = local_session(cores=cores, app="bench")
     times = {}
     for name in HEADLINE:

@@ -65,14 +65,14 @@ def _sweep_files(spark, sf):
     orders = table(spark, sf, "orders")
     key, row = F.col("o_orderkey").alias("OID"), F.col("o_orderkey").alias("_row")
     price, code, year = F.col("o_totalprice"), priority_code(), order_year().cast("double")
-    a = orders.filter("o_orderstatus = 'F'").select(key, row, price.alias("APRICE00"), code.alias("APRIO00"))
+    a = orders.filter("o_orderstatus <> 'O'").select(key, row, price.alias("APRICE00"), code.alias("APRIO00"))
     b = orders.filter("o_orderstatus = 'O'").select(key, row, price.alias("BPRICE00_R20"), year.alias("BYEAR00"))
     return SurveyFiles.from_frames({"0y/first": a, "3y/second": b})
 
 
 @query(
     """SELECT o_orderkey AS oid, 'a' AS sweep, o_totalprice AS price00, CAST(left(o_orderpriority, 1) AS DOUBLE) AS prio00,
-      CAST(NULL AS DOUBLE) AS year00 FROM orders WHERE o_orderstatus = 'F'
+      CAST(NULL AS DOUBLE) AS year00 FROM orders WHERE o_orderstatus <> 'O'
     UNION ALL SELECT o_orderkey, 'b', o_totalprice, NULL, CAST(year(o_orderdate) AS DOUBLE) FROM orders WHERE o_orderstatus = 'O'"""
 )
 def load_files_stack(spark, sf):
@@ -102,7 +102,7 @@ def _priority_by_year(orders):
 
 @query(
     """WITH o AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS fup FROM orders),
-    a AS (SELECT o_custkey, fup, max(o_totalprice) AS price FROM o WHERE o_orderstatus = 'F' GROUP BY ALL),
+    a AS (SELECT o_custkey, fup, max(o_totalprice) AS price FROM o WHERE o_orderstatus <> 'O' GROUP BY ALL),
     b AS (SELECT o_custkey, fup, min(CAST(left(o_orderpriority, 1) AS DOUBLE)) AS code FROM o WHERE o_orderstatus = 'O' GROUP BY ALL)
     SELECT o_custkey, fup, price, code FROM a FULL JOIN b USING (o_custkey, fup)"""
 )
@@ -110,7 +110,7 @@ def full_join_two_key(spark, sf):
     """Two attributes of a person and age side by side."""
     orders = table(spark, sf, "orders").withColumn("fup", order_year())
     keys = ["o_custkey", "fup"]
-    price = orders.filter("o_orderstatus = 'F'").groupBy(*keys).agg(F.max("o_totalprice").alias("price"))
+    price = orders.filter("o_orderstatus <> 'O'").groupBy(*keys).agg(F.max("o_totalprice").alias("price"))
     return j.full_join(price, _priority_by_year(orders.filter("o_orderstatus = 'O'")), keys)
 
 
@@ -147,7 +147,7 @@ def panel_wide(spark, sf):
 
 @query(
     """WITH a AS (SELECT o_orderkey, nullif(CAST(left(o_orderpriority, 1) AS DOUBLE), 2) AS code FROM orders WHERE o_orderstatus = 'F'),
-    b AS (SELECT o_orderkey, CASE WHEN o_totalprice > 200000 THEN 1.0 ELSE 0.0 END::DOUBLE AS code FROM orders WHERE o_orderkey % 2 = 0)
+    b AS (SELECT o_orderkey, CASE WHEN o_totalprice > 200000 THEN 1.0 ELSE 0.0 END::DOUBLE AS code FROM orders WHERE o_orderkey % 2 = 0 OR o_orderstatus <> 'F')
     SELECT o_orderkey, coalesce(a.code, b.code) AS code FROM a FULL JOIN b USING (o_orderkey)"""
 )
 def full_join_coalesce(spark, sf):
@@ -156,7 +156,7 @@ def full_join_coalesce(spark, sf):
     first = F.when(priority_code() != 2, priority_code())
     second = F.when(F.col("o_totalprice") > 200000, 1.0).otherwise(0.0)
     a = orders.filter("o_orderstatus = 'F'").select("o_orderkey", first.alias("code"))
-    b = orders.filter("o_orderkey % 2 = 0").select("o_orderkey", second.alias("code"))
+    b = orders.filter("o_orderkey % 2 = 0 OR o_orderstatus <> 'F'").select("o_orderkey", second.alias("code"))
     return j.full_join_coalesce(a, b, ["o_orderkey"], "code")
 
 

@@ -268,6 +268,23 @@ INPUTS: dict[str, dict[str, dict[str, list[float]]]] = {
 IDS = {"next_steps": "NSID", "bcs70": "bcsid", "ncds": "ncdsid", "mcs": "MCSID"}
 FAMILY_ROWS = ("family_derived",)
 
+# Files that some rule reads alone hold every row. The others lack some, so that joins meet unmatched keys.
+WHOLE = {
+    "42y/bcs70_2012_derived",
+    "xwave/bcs70_response_1970-2016",
+    "xwave/ncds_response",
+    "eul/next_steps_longitudinal_file",
+    "eul/ns8_self_completion",
+    "17y/mcs7_cm_interview",
+}
+
+
+def rows_present(path: str, file: int, key: str) -> str:
+    """Which rows of the given tables a file has."""
+    if path in WHOLE:
+        return "TRUE"
+    return f"({key} + {file}) % 3 <> 0" if key == "l_partkey" else f"({key} + {3 * file}) % 13 <> 0"
+
 LABELS = [
     ("bcs70", "xwave/bcs70_response_1970-2016", "SEX", 1.0, "Male"),
     ("bcs70", "xwave/bcs70_response_1970-2016", "SEX", 2.0, "Female"),
@@ -313,7 +330,7 @@ def _code(source: Source, first: str, second: str, name: str) -> Column:
 def _person_file(orders: DataFrame, study: str, path: str, file: int) -> DataFrame:
     """One row per person."""
     cells = [_code(s, "o_orderkey", "o_custkey", v) for (p, v), s in sources(study).items() if p == path]
-    kept = orders.filter(f"(o_orderkey + {3 * file}) % 13 <> 0")
+    kept = orders.filter(rows_present(path, file, "o_orderkey"))
     return kept.select(F.expr(f"concat('P', o_orderkey) AS {IDS[study]}"), *cells)
 
 
@@ -321,7 +338,7 @@ def _child_file(lines: DataFrame, path: str, file: int) -> DataFrame:
     """One row per line of an order: child of a family."""
     letter = chr(ord("A") + AGES["mcs"].index(int(path.split("y/")[0])))
     cells = [_code(s, "l_partkey", "l_suppkey", v) for (p, v), s in sources("mcs").items() if p == path]
-    return lines.filter(f"(l_partkey + {file}) % 3 <> 0").selectExpr("*", "concat('P', l_orderkey) AS MCSID").select(
+    return lines.filter(rows_present(path, file, "l_partkey")).selectExpr("*", "concat('P', l_orderkey) AS MCSID").select(
         "MCSID",
         F.expr(f"CAST(l_linenumber AS DOUBLE) AS {letter}CNUM00"),
         *cells,
@@ -374,7 +391,7 @@ def source_sql(study: str, *wanted: str) -> str:
         path, _, variable = name.rpartition(":")
         (key,) = [k for k in known if k[1].lower() == variable.lower() and (not path or k[0] == path)]
         s = known[key]
-        here = f"(o_orderkey + {3 * s.file}) % 13 <> 0"
+        here = rows_present(key[0], s.file, "o_orderkey")
         if here not in present:
             present.append(here)
         codes = ", ".join(str(c) for c in s.codes)
@@ -400,8 +417,8 @@ def mcs_sql(path: str, *wanted: str) -> str:
             f"[1 + ({first} * {s.factor} + {second}) % {len(s.codes)}] AS DOUBLE) END AS {variable.lower()}"
         )
     if family:
-        return f"(SELECT 'P' || o_orderkey AS pid{''.join(cells)} FROM orders WHERE (o_orderkey + {3 * file}) % 13 <> 0)"
+        return f"(SELECT 'P' || o_orderkey AS pid{''.join(cells)} FROM orders WHERE {rows_present(path, file, 'o_orderkey')})"
     return (
         f"(SELECT 'P' || l_orderkey AS pid, l_linenumber AS cnum, l_partkey * 1000000 + l_suppkey AS row{''.join(cells)}"
-        f" FROM lineitem WHERE (l_partkey + {file}) % 3 <> 0)"
+        f" FROM lineitem WHERE {rows_present(path, file, 'l_partkey')})"
     )
