@@ -85,9 +85,9 @@ def window_counts(observed: DataFrame, hidden: str = HIDDEN) -> DataFrame:
     )
     pairs = observed.select("study", "name", "value", F.inline(steps))
     counted = pairs.groupBy("study", "name", "value", "previous", "fup").agg(F.count("*").alias("n"))
-    # One row of bounds over these counts, as scalar subqueries on the same aggregate.
-    bounds = [counted.agg(f("fup")).scalar() for f in (F.min, F.max)]
-    bounded = counted.withColumns({"first": bounds[0], "last": bounds[1]})
+    # One row of bounds over these counts, as a scalar subquery on the same aggregate.
+    bounds = counted.agg(F.struct(F.min("fup").alias("first"), F.max("fup").alias("last"))).scalar()
+    bounded = counted.withColumn("bounds", bounds).select("*", "bounds.*").drop("bounds")
     lows = F.sequence(F.coalesce(F.col("previous") + 1, F.col("first")), F.col("fup"))
     cells = (
         bounded.filter(F.col("value") != hidden)
@@ -119,8 +119,8 @@ def published(counts: DataFrame, *keys: str) -> DataFrame:
 def age_windows(long: DataFrame) -> DataFrame:
     """All windows between the smallest and largest age observed, for each study."""
     studies = long.groupBy("study").agg(F.min("fup").alias("first"), F.max("fup").alias("last"))
-    bounds = [studies.agg(f).scalar() for f in (F.min("first"), F.max("last"))]
-    return window_grid(studies.select("study", bounds[0].alias("first"), bounds[1].alias("last"))).select("study", "low", "high")
+    bounds = studies.agg(F.struct(F.min("first").alias("first"), F.max("last").alias("last"))).scalar()
+    return window_grid(studies.select("study", bounds.alias("bounds")).select("study", "bounds.*")).select("study", "low", "high")
 
 
 def category_levels(spark: SparkSession, categories: Mapping[str, Sequence[str]] = CATEGORIES) -> DataFrame:

@@ -111,6 +111,7 @@ def catalog_variables(
 
     studies = []
     for study, root in roots.items():
+        root = root.replace("file:///", "/")  # as listed paths show it
         files = split_path(find_files(spark, f"{root.rstrip('/')}/{below}", extension), root, extension)
         files = files.repartition("file_path")
         headers = files.drop("part").join(stata_headers(files), "file_path") if extension == "dta" else parquet_headers(files)

@@ -51,8 +51,9 @@ def person_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The long panel with its study."""
-    return person_long(spark, sf_dir).join(person_study(spark, sf_dir), "iid")
+    """The long panel with its study, joined while an order is one row."""
+    panel = person_years(spark, sf_dir).join(person_study(spark, sf_dir), "iid")
+    return unpivot(panel, ["study", "iid", "fup"])
 
 
 PERSON_SQL = """

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from panelweave.operators.combine import stack_tagged
 from panelweave.plans.counts import age_span, ages_observed, count_by_sweep, observation_masks, window_counts
 from panelweave.sources.store import store
 from panelweave.workload.orders_panel import LONG_SQL, panel_long, person_long, person_study
-from panelweave.workload.registry import query, table
+from panelweave.workload.registry import SQL, query, table
+from panelweave.workload.survey_inputs import survey_files
 
 
 @query(
@@ -72,3 +75,29 @@ def panel_store(spark, sf):
         "supplier": table(spark, sf, "supplier").selectExpr("s_suppkey AS iid", "s_acctbal AS balance"),
     }
     return store(stack_tagged(frames, "study"), "panel", partition_by="study").select("study", "iid", "balance")
+
+
+MARSTAT_FILES = r"^(b960322|marstat2|bd(\d|10)ms)$"
+
+
+def stored_study_counts(spark, sf):
+    """From files on disk to counts: store a study's files in parts, catalogue them, read what a rule needs, count."""
+    from pyspark.sql import functions as F
+
+    from panelweave.plans import bcs70
+    from panelweave.sources.catalog import catalog_variables, value_labels
+    from panelweave.sources.files import SurveyFiles
+    from panelweave.sources.store import shared_folder
+
+    files, root = survey_files(spark, sf, "bcs70"), f"{shared_folder(spark)}/study-{uuid.uuid4().hex}"
+    for path in sorted({v.file_path for v in files.search(var_low=MARSTAT_FILES)}):
+        store(files.open(path).repartition(3), path, path=f"{root}/bcs70/{path}.parquet")
+    catalog = catalog_variables(spark, {"bcs70": f"{root}/bcs70"})
+    stored = SurveyFiles.from_catalog(spark, catalog, "bcs70", value_labels(catalog))
+    return bcs70.marstat(stored).groupBy("fup", "marstat").agg(F.count("*").alias("n"))
+
+
+def register_stored_counts() -> None:
+    """The SQL is that of the rule, counted; it is registered once the rule is."""
+    sql = f"SELECT fup, marstat, count(*) AS n FROM ({SQL['bcs70_marstat']}) GROUP BY ALL"
+    query(sql)(stored_study_counts)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelweave.operators import reshape as r
 from panelweave.plans.counts import age_windows, category_levels, observed_levels
 from panelweave.sources.catalog import labels_to_grid
-from panelweave.workload.orders_panel import LEVELS, LONG_SQL, PERSON_SQL, panel_long, person_long, person_years
+from panelweave.workload.orders_panel import LEVELS, LONG_SQL, PERSON_SQL, person_long, person_study, person_years
 from panelweave.workload.recodes import _NULLED, _nulled
 from panelweave.workload.registry import query, table
 
@@ -127,7 +126,7 @@ def unchop_rows(spark, sf):
 )
 def age_window_grid(spark, sf):
     """All windows between the first and last year observed, per study."""
-    return age_windows(panel_long(spark, sf))
+    return age_windows(person_years(spark, sf).select("iid", "fup").join(person_study(spark, sf), "iid"))
 
 
 _CALENDAR = """calendar AS (SELECT o_orderpriority AS study, CAST(year(o_orderdate) AS INTEGER) AS fup FROM orders
@@ -144,12 +143,8 @@ def window_sweep_sets(spark, sf):
     """The sweeps inside each window, for studies with gaps; windows without a sweep are left out."""
     orders = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("study"), F.year("o_orderdate").alias("fup"))
     sweeps = orders.groupBy("study", "fup").agg(F.count("*").alias("n")).filter("n % 2 = 1")
-    span = Window.partitionBy()
-    calendar = (
-        sweeps.groupBy("study")
-        .agg(F.array_sort(F.collect_set("fup")).alias("ages"), F.min("fup").alias("first"), F.max("fup").alias("last"))
-        .withColumns({"first": F.min("first").over(span), "last": F.max("last").over(span)})
-    )
+    bounds = {"first": sweeps.agg(F.min("fup")).scalar(), "last": sweeps.agg(F.max("fup")).scalar()}
+    calendar = sweeps.groupBy("study").agg(F.array_sort(F.collect_set("fup")).alias("ages")).withColumns(bounds)
     sets = r.window_sweep_sets(calendar)
     return sets.select("study", F.array_join("fups", ",").alias("sweeps"), F.inline("windows"))
 
