@@ -21,7 +21,9 @@ def shared_dir(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
-        return folder.rstrip("/")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        return system.makeQualified(path).toString().rstrip("/")
     if not spark.sparkContext.master.startswith(("local[", "local")) or "cluster" in spark.sparkContext.master:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = f"file://{tempfile.mkdtemp(prefix='shared-')}"
