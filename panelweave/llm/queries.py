@@ -34,10 +34,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query()
+OP1_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS hex, min(page_id) OVER (PARTITION BY h) AS low FROM p),
+b AS (SELECT *, list_transform([1, 6, 11, 16, 21, 26, 31, 36], lambda i: CAST('0x' || substr(hex, i, 5) AS BIGINT)) AS v FROM d)
+SELECT page_id, payload_bytes, array_to_string(list_transform(v, lambda x: array_to_string(list_transform([15, 10, 5, 0],
+  lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((x >> s) & 31 AS INTEGER) + 1, 1)), '')), '') AS payload_digest,
+  CASE WHEN page_id = low THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> low THEN low END AS refers_to
+FROM b
+"""
+
+
+@query(OP1_SQL)
 def op1_warc(spark, sf_dir):
-    """Every page through an archive and back."""
-    return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
+    """Every page through an archive and back; a record that breaks the format fails the query."""
+    found = warc.archive_pages(spark, table(spark, sf_dir, "pages"))
+    kind = F.when(F.col("error").isNull(), F.col("record_type")).otherwise(F.raise_error(F.col("error")).cast("string"))
+    return found.select("page_id", "payload_bytes", "payload_digest", kind.alias("record_type"), "refers_to")
 
 
 ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -118,7 +131,40 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, held_out=1, threshold=0.7)
 
 
-@query()
+def _matches_sql(kind: str, rank: int) -> str:
+    """One kind's matches: all of them, their second groups, and what stands between them."""
+    pattern = "'" + (secrets.STRONG | secrets.WEAK)[kind].replace("'", "''") + "'"
+    value = f"regexp_extract_all(text, {pattern}, 2)" if kind in ("assign", "short") else "m"
+    valid = {
+        "assign": "length(v[k]) >= 12",
+        "short": "length(v[k]) BETWEEN 6 AND 11",
+        "blob": "length(m[k]) <= 90 AND regexp_matches(m[k], '[A-Z]') AND regexp_matches(m[k], '[a-z]') AND regexp_matches(m[k], '[0-9]')",
+    }.get(kind, "TRUE")
+    return f"""SELECT r, '{kind}' AS kind, {rank} AS rank, '{secrets.PART[kind]}' AS part, e - length(m[k]) AS s, e FROM (
+      SELECT *, list_sum(list_transform(g[1:k], lambda x: length(x))) + list_sum(list_transform(m[1:k], lambda x: length(x))) AS e FROM (
+      SELECT *, unnest(range(1, len(m) + 1)) AS k FROM (
+      SELECT r, regexp_extract_all(text, {pattern}) AS m, {value if value != "m" else f"regexp_extract_all(text, {pattern})"} AS v, regexp_split_to_array(text, {pattern}) AS g
+      FROM t WHERE regexp_matches(text, {pattern})))) WHERE {valid}"""
+
+
+OP7_SQL = f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+f AS ({" UNION ALL ".join(_matches_sql(kind, rank) for rank, kind in enumerate(secrets.KINDS))}),
+n AS (SELECT *, {", ".join(
+    f"coalesce(s - max(CASE WHEN part = '{p}' THEN e END) OVER b <= 240, FALSE) OR coalesce(min(CASE WHEN part = '{p}' THEN s END) OVER a - e <= 240, FALSE) AS has_{p}"
+    for p in ("id", "secret")
+)} FROM f WINDOW b AS (PARTITION BY r ORDER BY s, e, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+  a AS (PARTITION BY r ORDER BY s, e, rank ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+x AS (SELECT r, kind || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT) AS span, kind, s, rank, e FROM n WHERE rank < {len(secrets.STRONG)}
+  OR CASE part WHEN 'id' THEN has_secret WHEN 'secret' THEN has_id ELSE has_id AND has_secret END),
+g AS (SELECT r, string_agg(span, ',' ORDER BY s, rank, e) AS spans, string_agg(span, ',' ORDER BY s, rank, e) FILTER (rank < {len(secrets.STRONG)}) AS base,
+  {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secrets.STRONG)} FROM x GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.STRONG)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN g USING (r)
+"""
+
+
+@query(OP7_SQL)
 def op7_secrets(spark, sf_dir):
     """Every document's secret spans."""
     found = secrets.secret_spans(table(spark, sf_dir, "documents"), reach=240)
