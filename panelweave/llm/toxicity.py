@@ -29,6 +29,7 @@ class KneserNey:
     """
 
     def __init__(self, grams: list[tuple[str, int, int]]):
+        self.known: dict[str, float] = {}  # evidence of sequences met before, a cache
         self.seen: dict[str, tuple[int, int]] = {}
         self.context: dict[str, list[int]] = {}
         pooled = set()
@@ -63,18 +64,24 @@ class KneserNey:
                 p = (max(left.get(part, 0) - DISCOUNT, 0) + DISCOUNT * total[1] * p) / total[0]
         return p
 
+    def evidence(self, gram: str) -> float:
+        """log P(last letter | the others, toxic) - log P(... | ordinary); nothing where neither class has the context."""
+        c = self.context.get(gram[:-1])
+        if c is None:
+            return 0.0
+        shared, logs = self.backoff(gram), []
+        for cls, n in enumerate(self.seen.get(gram, (0, 0))):
+            logs.append(math.log((max(n - DISCOUNT, 0) + DISCOUNT * c[2 + cls] * shared) / c[cls]) if c[cls] else math.log(shared))
+        return logs[0] - logs[1]
+
     def ratio(self, word: str) -> tuple[float, int]:
         """The word's log-likelihood ratio, and its letters with the end."""
-        padded, total = PAD * (ORDER - 1) + word + END, 0.0
+        padded, total, known = PAD * (ORDER - 1) + word + END, 0.0, self.known
         for k in range(SHARED_START, len(word) + 1):
             gram = padded[k : k + ORDER]
-            c = self.context.get(gram[:-1])
-            if c is None:
-                continue
-            shared, logs = self.backoff(gram), []
-            for cls, n in enumerate(self.seen.get(gram, (0, 0))):
-                logs.append(math.log((max(n - DISCOUNT, 0) + DISCOUNT * c[2 + cls] * shared) / c[cls]) if c[cls] else math.log(shared))
-            total += logs[0] - logs[1]
+            if (found := known.get(gram)) is None:
+                found = known[gram] = self.evidence(gram)
+            total += found
         return total, len(word) + 1
 
 
@@ -82,8 +89,9 @@ class Scorer:
     """Length-normalised log-likelihood differences of texts, word by word through a cache."""
 
     def __init__(self, state: dict):
-        self.model, self.known = KneserNey([]), {}
-        self.model.__dict__.update(state)
+        self.model = KneserNey([])
+        self.model.__dict__ = state  # caches stay with a worker's copy of the model, from task to task
+        self.known = state.setdefault("words", {})
 
     def word(self, raw: str) -> tuple[float, int]:
         if (found := self.known.get(raw)) is None:
@@ -95,6 +103,8 @@ class Scorer:
         """(difference of the log-likelihoods per letter, letters); (0, 0) without letters."""
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
+        if len(self.model.known) > 2 * CACHE_WORDS:
+            self.model.known.clear()
         pairs = list(map(self.word, (text or "").lower().split()))
         letters = sum(p[1] for p in pairs)
         return (math.fsum(p[0] for p in pairs) / letters, letters) if letters else (0.0, 0)
