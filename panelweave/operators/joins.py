@@ -3,8 +3,8 @@
 A plain chain of full joins shuffles the growing result again at every step, and Spark cannot split
 a partition of a full join that a hot key made too large. Two other forms are used here:
 
-* Two tables: the keys a table lacks are added to it as rows without attributes. Then every key
-  exists on both sides and an inner join gives the rows of the full join.
+* Two tables: one full join; or, for a known hot key, the keys a table lacks are added to it as rows
+  without attributes. Then every key exists on both sides and an inner join gives the same rows.
 * Many tables of codes or categories: all rows go through one shuffle on the key. Equal rows are
   counted before it, so a key with very many rows arrives as its few different ones.
 """
@@ -41,8 +41,17 @@ def _missing_keys(present: DataFrame, wanted: DataFrame, keys: Sequence[str]) ->
     return marked.groupBy(*keys).agg(F.bit_or("__has").alias("__has")).filter("__has = 2").select(*keys)
 
 
-def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full join of two tables of any content."""
+def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str], split_hot: bool = False) -> DataFrame:
+    """Full join of two tables of any content: one scan and one shuffle of each.
+
+    Spark cannot split a hot key of a full join. Where a key is known to hold a large share of the
+    rows, split_hot adds the keys a side lacks to it and joins inner, which Spark may split.
+    """
+    if not split_hot:
+        renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+        rest = [c for c in left.columns if c not in keys] + [c for c in right.columns if c not in keys]
+        return left.join(renamed, same, "full").select(*[F.coalesce(k, f"__{k}").alias(k) for k in keys], *rest)
     padded_left = left.unionByName(_missing_keys(left, right, keys), allowMissingColumns=True)
     padded_right = right.unionByName(_missing_keys(right, left, keys), allowMissingColumns=True)
     return null_safe_join(padded_left, padded_right, keys)

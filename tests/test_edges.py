@@ -100,3 +100,13 @@ def test_joined_once_equals_the_files(spark):
     for a, b in zip(rule(files), rule(once), strict=True):
         assert a.columns == b.columns
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+@pytest.mark.parametrize("split_hot", [False, True])
+def test_full_join_with_a_common_null_key(spark, split_hot):
+    left = spark.createDataFrame([(None, "n", k) for k in range(50)] + [(k, "a", k) for k in range(100)], "id int, at string, x int")
+    right = spark.createDataFrame([(None, "n", -1), (None, None, -2)] + [(k, "a", -k) for k in range(50, 150)], "id int, at string, y int")
+    joined = joins.full_join(left, right, ["id", "at"], split_hot)
+    assert joined.columns == ["id", "at", "x", "y"] and joined.count() == 50 + 150 + 1
+    assert joined.where("id IS NULL AND y = -1").count() == 50 and joined.where("x IS NULL").count() == 51
+    assert joined.where("y IS NULL").count() == 50 and joined.where("id IS NULL AND at IS NULL AND y = -2").count() == 1
