@@ -67,7 +67,7 @@ def main() -> None:
     cores = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     spark = local_session(cores=cores, app="bench")
-    limit = float(os.environ.get("BENCH_SECONDS", "60"))
+    limit = float(os.environ.get("BENCH_SECONDS", "30"))
 
     def median(run) -> float:
         seconds(lambda: run(spark, sf_dir))
