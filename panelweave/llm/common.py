@@ -24,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         system = path.getFileSystem(spark._jsc.hadoopConfiguration())
         return system.makeQualified(path).toString().rstrip("/")
-    if not spark.sparkContext.master.startswith(("local[", "local")) or "cluster" in spark.sparkContext.master:
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = f"file://{tempfile.mkdtemp(prefix='shared-')}"
     spark.sparkContext.setCheckpointDir(folder)
@@ -73,19 +73,10 @@ def fold(id_col: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def salt_of(salts: int) -> Column:
-    """A salt that spreads the rows of one key, the same in every run over the same scan."""
-    return F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
-
-
 # --- connected components ---------------------------------------------------------------------
 
 

@@ -33,7 +33,9 @@ def filesystem(uri: str):
     """pyarrow's file system of a folder or file address, and the path in it."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:", "file://", 1) if uri.startswith("file:") else f"file://{uri}")
+    if "://" not in uri:  # file:/x and /x
+        uri = f"file://{uri.removeprefix('file:')}"
+    return fs.FileSystem.from_uri(uri)
 
 
 def digest32(payload: bytes) -> str:
