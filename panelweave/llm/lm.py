@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from panelweave.llm.common import written
 
-SHARD_TOKENS = 1 << 21  # tokens coded together: bounds the memory of a task
+SHARD_TOKENS = 1 << 20  # tokens coded together: bounds the memory of a task
 BUCKET_TOKENS = 1 << 22  # corpus tokens for each bucket of the hash space: bounds the memory of a count
 SEED = 17
 START = np.uint64(0x9E3779B97F4A7C15)  # stands for the place before the first word
