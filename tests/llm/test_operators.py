@@ -253,6 +253,55 @@ def test_license_rules():
     assert [(s, e, r.form) for s, e, r in kept] == [(0, 46, "grant")]
 
 
+def spellings(parsed):
+    """Strings a parsed pattern may match: each alternative, each repeat as few times and once more, once at least."""
+    parts = [[""]]
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            parts.append([chr(arg)])
+        elif op == "IN":
+            kinds = {"CATEGORY_SPACE": "\n", "CATEGORY_DIGIT": "7", "CATEGORY_NOT_SPACE": "x", "CATEGORY_WORD": "w"}
+            parts.append([kinds[str(x)] if str(k) == "CATEGORY" else chr(x) for k, x in arg])
+        elif op == "BRANCH":
+            parts.append([s for branch in arg[1] for s in spellings(branch)])
+        elif op == "SUBPATTERN":
+            parts.append(spellings(arg[3]))
+        elif op == "MAX_REPEAT":
+            parts.append([""] * (arg[0] == 0) + spellings(arg[2]))
+        else:
+            assert op in ("AT", "ASSERT", "ASSERT_NOT"), op
+    first = [p[0] for p in parts]
+    last = [p[-1] for p in parts]
+    return list(dict.fromkeys("".join([*base[:k], x, *base[k + 1 :]]) for base in (first, last) for k, p in enumerate(parts) for x in p))
+
+
+def test_license_gate_equals_ungated_scan():
+    import re
+
+    scanner, rules = licenses.Scanner(), licenses.rules()
+    matched = set()
+    for rule in rules:
+        for words in rule.needs:
+            assert all(words) and not any(re.search(r"\s", w) for w in words)
+        for text in spellings(re._parser.parse(rule.pattern.pattern)):
+            text = f" {text.lower()} "
+            found = [(m.start(), m.end(), r) for r in rules for m in r.pattern.finditer(text)]
+            matched |= {r.pattern.pattern for _, _, r in found}
+            assert scanner.detections(text) == licenses.suppress(found), text
+    assert matched == {r.pattern.pattern for r in rules}
+    for text, label in {
+        "license: gplv3, gnu gpl": "gpl",
+        "0bsd": "0bsd",
+        "https://opensource.org/licenses/zlib": "zlib",
+        "cecill v2.1": "cecill-2.1",
+        "mit no attribution": "mit-0",
+        "gnu free\ndocumentation\nlicense v1.3": "gfdl-1.3",
+        "the simplified license": "bsd-2-clause",
+    }.items():
+        assert label in licenses.scan(text, scanner)[5], text
+
+
 def test_packing_is_exact_and_gapless(docs, empty):
     from tokenizers import Tokenizer
 
