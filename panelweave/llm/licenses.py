@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 # Base phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-V = r"(?:,?\s*(?:version|v\.?)\s*)"
+# What stands before a version's number, with or without the word; without it, not the next point of a numbered list.
+V = r"(?:[\s,(-]*(?:version|v\.?)[\s-]*|(?![^\S\n]*\n\s*\d+[.)](?!\d))[\s,(-]*)"
 GNU = r"(?:gnu\s+)?"
 
 # label; words without white space, one of which stands in every match of its name; its name; its address.
@@ -26,24 +27,24 @@ def family(label: str, words: str, name: str, address: str, versions: dict[str,
 
 
 NUMBER = {v: re.escape(v).removesuffix(r"\.0") + r"(?:\.0)?(?![\d.]*\d)" for v in ("1.0", "2.0", "3.0", "4.0")}
-family("agpl-#", "affero", GNU + r"affero\s+general\s+public\s+licen[cs]e" + V + "?#", r"gnu\.org/licenses/agpl-#", {v: NUMBER[v] for v in ("1.0", "3.0")})
-family("lgpl-#", "lesser library", GNU + r"(?:lesser|library)\s+general\s+public\s+licen[cs]e" + V + "?#", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-#", {"2.0": NUMBER["2.0"], "2.1": r"2\.1", "3.0": NUMBER["3.0"]})
-family("gpl-#", "gnu", r"gnu\s+general\s+public\s+licen[cs]e" + V + "?#", r"gnu\.org/licenses/(?:old-licenses/)?gpl-#", {v: NUMBER[v] for v in ("1.0", "2.0", "3.0")})
-family("gfdl-#", "documentation", GNU + r"free\s+documentation\s+licen[cs]e" + V + "?#", r"gnu\.org/licenses/(?:old-licenses/)?fdl-#", {"1.1": r"1\.1", "1.2": r"1\.2", "1.3": r"1\.3"})
-family("apache-#", "apache", r"apache\s+(?:software\s+)?licen[cs]e" + V + "?#", r"apache\.org/licenses/license-#", {"1.0": r"1\.0", "1.1": r"1\.1", "2.0": NUMBER["2.0"]})
-family("mpl-#", "mozilla", r"mozilla\s+public\s+licen[cs]e" + V + "?#", r"mozilla\.org/mpl/#", {"1.0": r"1\.0", "1.1": r"1\.1", "2.0": NUMBER["2.0"]})
-family("epl-#", "eclipse", r"eclipse\s+public\s+licen[cs]e" + V + "?(?:-\\s*v\\s*)?#", r"eclipse\.org/legal/epl-v?#", {v: NUMBER[v] for v in ("1.0", "2.0")})
-family("eupl-#", "european", r"european\s+union\s+public\s+licen[cs]e" + V + "?#", r"joinup\.ec\.europa\.eu/\S*eupl\S*#", {"1.0": r"1\.0", "1.1": r"1\.1", "1.2": r"1\.2"})
-family("osl-#", "licen", r"open\s+software\s+licen[cs]e" + V + "?#", r"opensource\.org/licenses/osl-#", {"1.0": r"1\.0", "2.0": r"2\.0", "2.1": r"2\.1", "3.0": NUMBER["3.0"]})
-family("afl-#", "academic", r"academic\s+free\s+licen[cs]e" + V + "?#", r"opensource\.org/licenses/afl-#", {"1.2": r"1\.2", "2.0": r"2\.0", "2.1": r"2\.1", "3.0": NUMBER["3.0"]})
-family("artistic-#", "artistic", r"artistic\s+licen[cs]e" + V + "?#", r"opensource\.org/licenses/artistic-(?:license-)?#", {v: NUMBER[v] for v in ("1.0", "2.0")})
-family("lppl-#", "latex", r"latex\s+project\s+public\s+licen[cs]e" + V + "?#", r"latex-project\.org/lppl/lppl-#", {"1.0": r"1\.0", "1.1": r"1\.1", "1.2": r"1\.2", "1.3c": r"1\.3c"})
-family("cddl-#", "licen", r"common\s+development\s+and\s+distribution\s+licen[cs]e" + V + "?#", r"opensource\.org/licenses/cddl-?#", {"1.0": r"1\.0", "1.1": r"1\.1"})
-family("cecill-#", "cecill", r"cecill(?:\s+free\s+software\s+licen[cs]e(?:\s+agreement)?)?" + V + "?#", r"cecill\.info/licences/licence_cecill_v#", {"1.0": r"1\.0", "2.0": r"2\.0", "2.1": r"2\.1"})
-family("ofl-#", "font", r"(?:sil\s+)?open\s+font\s+licen[cs]e" + V + "?#", r"scripts\.sil\.org/ofl", {"1.0": r"1\.0", "1.1": r"1\.1"})
-family("zpl-#", "zope", r"zope\s+public\s+licen[cs]e" + V + "?#", r"zope\.org/resources/zpl-?#", {"1.1": r"1\.1", "2.0": r"2\.0", "2.1": r"2\.1"})
-family("php-#", "php", r"php\s+licen[cs]e" + V + "?#", r"php\.net/license/#", {"3.0": r"3\.0(?!1)", "3.01": r"3\.01"})
-family("odbl-#", "database", r"open\s+(?:data\s+commons\s+open\s+)?database\s+licen[cs]e" + V + "?#", r"opendatacommons\.org/licenses/odbl/#", {"1.0": r"1\.0"})
+family("agpl-#", "affero", GNU + r"affero\s+general\s+public\s+licen[cs]e" + V + "#", r"gnu\.org/licenses/agpl-#", {v: NUMBER[v] for v in ("1.0", "3.0")})
+family("lgpl-#", "lesser library", GNU + r"(?:lesser|library)\s+general\s+public\s+licen[cs]e" + V + "#", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-#", {"2.0": NUMBER["2.0"], "2.1": r"2\.1", "3.0": NUMBER["3.0"]})
+family("gpl-#", "gnu", r"gnu\s+general\s+public\s+licen[cs]e" + V + "#", r"gnu\.org/licenses/(?:old-licenses/)?gpl-#", {v: NUMBER[v] for v in ("1.0", "2.0", "3.0")})
+family("gfdl-#", "documentation", GNU + r"free\s+documentation\s+licen[cs]e" + V + "#", r"gnu\.org/licenses/(?:old-licenses/)?fdl-#", {"1.1": r"1\.1", "1.2": r"1\.2", "1.3": r"1\.3"})
+family("apache-#", "apache", r"apache\s+(?:software\s+)?licen[cs]e" + V + "#", r"apache\.org/licenses/license-#", {"1.0": r"1\.0", "1.1": r"1\.1", "2.0": NUMBER["2.0"]})
+family("mpl-#", "mozilla", r"mozilla\s+public\s+licen[cs]e" + V + "#", r"mozilla\.org/mpl/#", {"1.0": r"1\.0", "1.1": r"1\.1", "2.0": NUMBER["2.0"]})
+family("epl-#", "eclipse", r"eclipse\s+public\s+licen[cs]e" + V + "(?:-\\s*v\\s*)?#", r"eclipse\.org/legal/epl-v?#", {v: NUMBER[v] for v in ("1.0", "2.0")})
+family("eupl-#", "european", r"european\s+union\s+public\s+licen[cs]e" + V + "#", r"joinup\.ec\.europa\.eu/\S*eupl\S*#", {"1.0": r"1\.0", "1.1": r"1\.1", "1.2": r"1\.2"})
+family("osl-#", "licen", r"open\s+software\s+licen[cs]e" + V + "#", r"opensource\.org/licenses/osl-#", {"1.0": r"1\.0", "2.0": r"2\.0", "2.1": r"2\.1", "3.0": NUMBER["3.0"]})
+family("afl-#", "academic", r"academic\s+free\s+licen[cs]e" + V + "#", r"opensource\.org/licenses/afl-#", {"1.2": r"1\.2", "2.0": r"2\.0", "2.1": r"2\.1", "3.0": NUMBER["3.0"]})
+family("artistic-#", "artistic", r"artistic\s+licen[cs]e" + V + "#", r"opensource\.org/licenses/artistic-(?:license-)?#", {v: NUMBER[v] for v in ("1.0", "2.0")})
+family("lppl-#", "latex", r"latex\s+project\s+public\s+licen[cs]e" + V + "#", r"latex-project\.org/lppl/lppl-#", {"1.0": r"1\.0", "1.1": r"1\.1", "1.2": r"1\.2", "1.3c": r"1\.3c"})
+family("cddl-#", "licen", r"common\s+development\s+and\s+distribution\s+licen[cs]e" + V + "#", r"opensource\.org/licenses/cddl-?#", {"1.0": r"1\.0", "1.1": r"1\.1"})
+family("cecill-#", "cecill", r"cecill(?:\s+free\s+software\s+licen[cs]e(?:\s+agreement)?)?" + V + "#", r"cecill\.info/licences/licence_cecill_v#", {"1.0": r"1\.0", "2.0": r"2\.0", "2.1": r"2\.1"})
+family("ofl-#", "font", r"(?:sil\s+)?open\s+font\s+licen[cs]e" + V + "#", r"scripts\.sil\.org/ofl", {"1.0": r"1\.0", "1.1": r"1\.1"})
+family("zpl-#", "zope", r"zope\s+public\s+licen[cs]e" + V + "#", r"zope\.org/resources/zpl-?#", {"1.1": r"1\.1", "2.0": r"2\.0", "2.1": r"2\.1"})
+family("php-#", "php", r"php\s+licen[cs]e" + V + "#", r"php\.net/license/#", {"3.0": r"3\.0(?!1)", "3.01": r"3\.01"})
+family("odbl-#", "database", r"open\s+(?:data\s+commons\s+open\s+)?database\s+licen[cs]e" + V + "#", r"opendatacommons\.org/licenses/odbl/#", {"1.0": r"1\.0"})
 for terms, spoken in {
     "by": "attribution",
     "by-sa": r"attribution[\s-]+share[\s-]?alike",
@@ -55,7 +56,7 @@ for terms, spoken in {
     for version in ("1.0", "2.0", "2.5", "3.0", "4.0"):
         short = terms.replace("-", r"[\s-]")
         number = re.escape(version)
-        NAMES.append((f"cc-{terms}-{version}", "cc creative", rf"(?:\bcc[\s-]{short}|creative\s+commons\s+{spoken})(?:\s+(?:\d\.\d\s+)?international|\s+licen[cs]e)?{V}?[\s-]*{number}", rf"creativecommons\.org/licenses/{terms}/{number}"))
+        NAMES.append((f"cc-{terms}-{version}", "cc creative", rf"(?:\bcc[\s-]{short}|creative\s+commons\s+{spoken})(?:\s+(?:\d\.\d\s+)?international|\s+licen[cs]e)?{V}{number}", rf"creativecommons\.org/licenses/{terms}/{number}"))
 NAMES += [
     ("cc0-1.0", "cc0", r"\bcc0(?:\s+1\.0)?(?:\s+universal)?", r"creativecommons\.org/publicdomain/zero/1\.0"),
     ("mit", "licen", r"\bmit\s+licen[cs]e", r"opensource\.org/licenses/mit"),

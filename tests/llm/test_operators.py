@@ -302,6 +302,41 @@ def test_license_gate_equals_ungated_scan():
         assert label in licenses.scan(text, scanner)[5], text
 
 
+def test_license_versions_without_the_word():
+    scanner = licenses.Scanner()
+    spoken = {
+        "agpl-3.0": "GNU Affero General Public License",
+        "lgpl-2.1": "GNU Lesser General Public License",
+        "gpl-3.0": "GNU General Public License",
+        "gfdl-1.3": "GNU Free Documentation License",
+        "apache-2.0": "Apache License",
+        "mpl-2.0": "Mozilla Public License",
+        "epl-1.0": "Eclipse Public License",
+        "eupl-1.2": "European Union Public Licence",
+        "osl-3.0": "Open Software License",
+        "afl-3.0": "Academic Free License",
+        "artistic-2.0": "Artistic License",
+        "lppl-1.3c": "LaTeX Project Public License",
+        "cddl-1.1": "Common Development and Distribution License",
+        "cecill-2.1": "CeCILL Free Software License Agreement",
+        "ofl-1.1": "SIL Open Font License",
+        "zpl-2.1": "Zope Public License",
+        "php-3.01": "PHP License",
+        "odbl-1.0": "Open Database License",
+        "cc-by-sa-4.0": "Creative Commons Attribution-ShareAlike",
+    }
+    for label, name in spoken.items():
+        number = label.rsplit("-", 1)[1]
+        for between in (" ", "\n", "-", " (", ", ", " - ", " v", ", Version ", " (version ", "\n   Version "):
+            text = name + between + number
+            kept = scanner.detections(text.lower())
+            assert [(s, r.label, r.form) for s, _, r in kept] == [(0, label, "name")], text
+            kept = scanner.detections(f"licensed under the {text}.".lower())
+            assert [(s, r.label, r.form) for s, _, r in kept] == [(0, label, "grant")], text
+    for text in ("1. GNU General Public License\n2. Apache License\n3. Other", "Apache License\n\n   2) Grant of rights"):
+        assert set(licenses.scan(text, scanner)[5]) <= {"gpl", "apache"}, text
+
+
 def test_packing_is_exact_and_gapless(docs, empty):
     from tokenizers import Tokenizer
 
