@@ -917,6 +917,13 @@ def harmonised_windows(spark, sf):
 
 @query(f"WITH panel AS ({_study_panel('ncds')} UNION ALL {_study_panel('bcs70')}) SELECT * EXCLUDE (gender_identity, carer) FROM panel")
 def harmonised_panel(spark, sf):
-    """The wide panel of responders of the two studies with one record per person and file."""
+    """The wide panel of ncds and bcs70 alone; `harmonised_panel_all` has all four studies."""
     tables = stack_studies(studies(spark, sf, ("ncds", "bcs70")))
     return responder_panel(tables["wide"], tables["response"])
+
+
+@query(_PANEL)
+def harmonised_panel_all(spark, sf):
+    """The wide panel of responders of all four studies, children of the millennium cohort by family and number."""
+    tables = stack_studies(studies(spark, sf))
+    return responder_panel(tables["wide"], tables["response"])

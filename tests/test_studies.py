@@ -120,3 +120,13 @@ def test_store_partitions_by_study(spark, tmp_path):
     back = store(df, "panel", partition_by="study", path=str(tmp_path / "panel"))
     assert (tmp_path / "panel" / "study=a").exists()
     assert back.filter(F.col("study") == "b").first().x == 2
+
+
+def test_panel_of_all_studies(spark):
+    from panelweave.workload import QUERIES
+
+    panel = QUERIES["harmonised_panel_all"](spark, "/root/testdata/sf0.001")
+    assert {"gender_identity", "carer"} <= set(panel.columns)
+    rows = {r.study: (r.n, r.persons) for r in panel.groupBy("study").agg(F.count("*").alias("n"), F.count_distinct("iid").alias("persons")).collect()}
+    assert set(rows) == {"mcs", "next_steps", "bcs70", "ncds"}
+    assert all(n > persons > 0 for n, persons in rows.values())
