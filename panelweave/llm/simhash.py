@@ -40,14 +40,15 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, fp) per row: the fingerprint of the whole text as a signed 64-bit integer; null is empty."""
+    """(id, text_hash, fp) per row: the fingerprint of the whole text as a signed 64-bit integer; null is empty."""
 
     def run(batches):
         for batch in batches:
             fps = [fingerprint(shingle_hashes(t or "", shingle)) for t in batch.column(text_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(np.array(fps, np.uint64).view(np.int64))], [id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(id_col), batch.column("text_hash"), pa.array(np.array(fps, np.uint64).view(np.int64))], [id_col, "text_hash", "fp"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, fp long")
+    thin = docs.select(id_col, text_col, F.xxhash64(text_col).alias("text_hash"))
+    return thin.mapInArrow(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, text_hash long, fp long")
 
 
 # --- the partitioning, from counts over all fingerprints -----------------------------------------
@@ -208,13 +209,8 @@ def links(fps: DataFrame, distance: int = 3, bucket_limit: int = 8192) -> DataFr
     return buckets.mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3, salts: int = 32, bucket_limit: int = 8192) -> DataFrame:
-    """(id, fp, component_id) per row: component_id is the smallest id reachable over links of <= distance bits.
-
-    Equal fingerprints are one node, so copies never multiply the work. Null and empty texts have
-    fingerprint zero and link like any other; rows with a null id join components but never name one
-    (the component of null ids alone is null); an empty table gives no rows.
-    """
+def membership(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3, salts: int = 32, bucket_limit: int = 8192) -> DataFrame:
+    """(id, text_hash, fp, component, component_id) per row: component is its smallest fingerprint, component_id its smallest id."""
     own = written(fingerprints(docs, id_col, text_col, shingle).withColumn("salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int")), "fingerprints")
     nodes = own.groupBy("fp", "salt").agg(F.min(id_col).alias("low")).groupBy("fp").agg(F.min("low").alias("low"), F.collect_list("salt").alias("salts"))
     nodes = written(nodes, "nodes")
@@ -222,20 +218,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = nodes.join(member, nodes["fp"] == member["node"], "left")
     named = written(named.select("fp", "low", "salts", F.coalesce("component", "fp").alias("component")), "members")
     lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    roots = named.join(lowest, "component").select("fp", "component_id", F.explode("salts").alias("salt"))
-    return own.join(roots, ["fp", "salt"], "left").select(id_col, "fp", "component_id")
+    roots = named.join(lowest, "component").select("fp", "component", "component_id", F.explode("salts").alias("salt"))
+    return own.join(roots, ["fp", "salt"], "left").select(id_col, "text_hash", "fp", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3, salts: int = 32, bucket_limit: int = 8192) -> DataFrame:
+    """(id, fp, component_id) per row: component_id is the smallest id reachable over links of <= distance bits.
+
+    Equal fingerprints are one node, so copies never multiply the work. Null and empty texts have
+    fingerprint zero and link like any other; rows with a null id join components but never name one
+    (the component of null ids alone is null); an empty table gives no rows.
+    """
+    return membership(docs, id_col, text_col, shingle, distance, salts, bucket_limit).select(id_col, "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
     """The documents with the smallest id of their component, all columns as they were.
 
-    Of rows that repeat that id with it, one stays; rows with a null id stay.
+    Rows are told apart by id and text. Of the rows of a component that share its smallest id one stays;
+    those that share it in another component are no copies and are dealt with there. Rows with a null id stay.
     """
-    found = near_duplicates(docs, id_col, text_col, shingle, distance)
-    out = small(written(found.where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_out")).distinct(), "duplicates"))
-    kept = docs.join(out, docs[id_col] == out["_out"], "left_anti")
-    repeated = written(docs.groupBy(id_col).agg(F.count("*").alias("n")).where(f"n > 1 AND `{id_col}` IS NOT NULL").select(F.col(id_col).alias("_many")), "repeated")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, kept[id_col] == repeated["_many"], "left_semi").dropDuplicates([id_col])
-    return kept.join(repeated, kept[id_col] == repeated["_many"], "left_anti").unionByName(once)
+    found = written(membership(docs, id_col, text_col, shingle, distance).where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_out"), "text_hash", "component", "component_id"), "membership")
+    key = ["_out", "text_hash"]
+    repeated = written(found.groupBy("_out").agg(F.count("*").alias("n")).where("n > 1").select("_out"), "repeated")
+    gone = found.where("component_id < _out").select(key)
+    several = not repeated.isEmpty()
+    if several:
+        shared = found.where("component_id = _out").join(repeated, "_out", "left_semi")
+        first = shared.groupBy("_out", "component").agg(F.min("text_hash").alias("first"))
+        gone = gone.unionAll(shared.join(first, ["_out", "component"]).where("text_hash <> first").select(key))
+    out = small(written(gone.distinct(), "duplicates"))
+    keyed = docs.withColumn("__row_key", F.xxhash64(text_col))
+    kept = keyed.join(out, (keyed[id_col] == out["_out"]) & (keyed["__row_key"] == out["text_hash"]), "left_anti")
+    if several:
+        once = kept.join(repeated, kept[id_col] == repeated["_out"], "left_semi").dropDuplicates([id_col, "__row_key"])
+        kept = kept.join(repeated, kept[id_col] == repeated["_out"], "left_anti").unionByName(once)
+    return kept.drop("__row_key")

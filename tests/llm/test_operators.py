@@ -150,6 +150,17 @@ def test_one_of_each_component_stays(docs):
     assert kept.columns == docs.columns and sorted(x for x in got if x is not None) == sorted(wanted) and got.count(None) == 2
 
 
+def test_rows_that_share_an_id_are_no_copies_of_each_other(spark):
+    texts = [" ".join(f"{a}{k * k + b}" for k in range(60)) for a, b in (("red", 1), ("blue", 7), ("green", 3))]
+    rows_ = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (3, texts[2]), (3, texts[1] + " x"), (4, texts[2]), (4, None), (5, ""), (4, None)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows_, "doc_id long, text string"))
+    found = simhash.near_duplicates(spark.createDataFrame([(k, t) for k, t in enumerate(texts + [texts[1] + " x"])], "doc_id long, text string"))
+    near = {r.doc_id: r.component_id for r in found.collect()}
+    assert [near[k] for k in range(3)] == [0, 1, 2]
+    wanted = [(1, texts[0]), (2, texts[1]), (3, texts[2]), (4, None)] + ([] if near[3] == 1 else [(3, texts[1] + " x")])
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(wanted, key=str)
+
+
 def test_host_rules_equal_plain_version(docs, empty):
     got = hostrules.host_quality(docs)
     wanted = sorted(((r.doc_id, *brute.quality(r.text)) for r in docs.collect()), key=str)
