@@ -41,7 +41,7 @@ class WordFacts(dict):
     """What is known of a word: (feature, capitals, symbols, ends in symbols, shouts, pipes, odd); kept for words met before."""
 
     def __missing__(self, word: str) -> tuple:
-        shape = "".join(dict.fromkeys("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64]))
+        shape = "".join(dict.fromkeys("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word))
         letters = [c for c in word if c.isalpha()]
         found = (
             zlib.crc32(shape.encode()) % (WIDTH - 8) + 8,

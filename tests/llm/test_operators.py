@@ -150,6 +150,11 @@ def test_one_of_each_component_stays(docs):
     assert kept.columns == docs.columns and sorted(x for x in got if x is not None) == sorted(wanted) and got.count(None) == 2
 
 
+def test_shape_reads_the_whole_word():
+    facts = weaklabel.WordFacts()
+    assert facts["a" * 80][0] == facts["a" * 10][0] != facts["a" * 80 + "7"][0] == facts["a7"][0]
+
+
 def test_rows_that_share_an_id_are_no_copies_of_each_other(spark):
     texts = [" ".join(f"{a}{k * k + b}" for k in range(60)) for a, b in (("red", 1), ("blue", 7), ("green", 3))]
     rows_ = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (3, texts[2]), (3, texts[1] + " x"), (4, texts[2]), (4, None), (5, ""), (4, None)]
