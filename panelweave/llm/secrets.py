@@ -28,18 +28,19 @@ PART = {"assign": "secret", "access": "id", "hex": "secret", "ident": "id", "blo
 KEY = ["_id", "_hash"]
 
 
-def valid(kind: str, text: Column, pattern: str) -> Column:
-    """Which matches of the pattern count, in order."""
+def valid(kind: str, text: Column, pattern: str, longest: int | None = None) -> Column:
+    """Which matches of the pattern count, in order; longest: of how many characters a blob may be, None for any number."""
     if kind in ("assign", "short"):
         value = F.regexp_extract_all(text, F.lit(pattern), F.lit(2))
         return F.transform(value, lambda v: (F.char_length(v) >= 12) if kind == "assign" else F.char_length(v).between(6, 11))
     if kind == "blob":
+        within = lambda v: F.lit(True) if longest is None else F.char_length(v) <= longest
         match = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        return F.transform(match, lambda v: (F.char_length(v) <= 90) & v.rlike("[A-Z]") & v.rlike("[a-z]") & v.rlike("[0-9]"))
+        return F.transform(match, lambda v: within(v) & v.rlike("[A-Z]") & v.rlike("[a-z]") & v.rlike("[0-9]"))
     return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda v: F.lit(True))
 
 
-def matches(text: Column, kind: str) -> Column:
+def matches(text: Column, kind: str, longest: int | None = None) -> Column:
     """Array of (kind, k, gap, length, ok) of the leftmost non-overlapping matches: gap is what stands before.
 
     Lengths of what lies between matches and of the matches themselves give positions without a
@@ -49,24 +50,25 @@ def matches(text: Column, kind: str) -> Column:
     gaps = F.transform(F.split(text, pattern, -1), lambda p: F.char_length(p))
     lengths = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda p: F.char_length(p))
     made = F.transform(
-        F.arrays_zip(lengths.alias("length"), F.slice(gaps, 1, F.greatest(F.size(gaps) - 1, F.lit(0))).alias("gap"), valid(kind, text, pattern).alias("ok")),
+        F.arrays_zip(lengths.alias("length"), F.slice(gaps, 1, F.greatest(F.size(gaps) - 1, F.lit(0))).alias("gap"), valid(kind, text, pattern, longest).alias("ok")),
         lambda x, k: F.struct(F.lit(kind).alias("kind"), k.alias("k"), x["gap"].alias("gap"), x["length"].alias("length"), x["ok"].alias("ok")),
     )
     return F.when(text.rlike(pattern), made).otherwise(F.array().cast("array<struct<kind:string,k:int,gap:int,length:int,ok:boolean>>"))
 
 
-def spans(docs: DataFrame, reach: int = 240, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def spans(docs: DataFrame, reach: int = 240, id_col: str = "doc_id", text_col: str = "text", longest: int | None = None) -> DataFrame:
     """(_id, _hash, kind, rank, start, end, strong): all spans of all documents that have any.
 
     Code points, end exclusive. A weak span stands if the parts it lacks lie within `reach` code
     points: an identifier needs a secret, a secret an identifier, an endpoint both. This is the
     interval join of parts with their neighbourhoods in as-of form: of each part kind only the
     nearest end before and the nearest start after can decide, which two ordered passes over a
-    document's parts give. No pairs are made, however dense the parts.
+    document's parts give. No pairs are made, however dense the parts. A blob may have any length unless
+    `longest` bounds it.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), text.alias("_t"))
-    found = found.select(*KEY, F.explode(F.concat(*[matches(F.col("_t"), k) for k in KINDS])).alias("m")).select(*KEY, "m.*").distinct()
+    found = found.select(*KEY, F.explode(F.concat(*[matches(F.col("_t"), k, longest) for k in KINDS])).alias("m")).select(*KEY, "m.*").distinct()
     so_far = Window.partitionBy(*KEY, "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.col("length")).over(so_far)
     rank = F.element_at(F.create_map(*[F.lit(x) for k, name in enumerate(KINDS) for x in (name, k)]), F.col("kind"))
@@ -87,12 +89,12 @@ def spans(docs: DataFrame, reach: int = 240, id_col: str = "doc_id", text_col: s
     return rows.withColumn("linked", linked).where(strong | F.col("linked")).select(*KEY, "kind", "rank", F.col("start").cast("long"), F.col("end").cast("long"), strong.alias("strong"))
 
 
-def secret_spans(docs: DataFrame, reach: int = 240, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def secret_spans(docs: DataFrame, reach: int = 240, id_col: str = "doc_id", text_col: str = "text", longest: int | None = None) -> DataFrame:
     """Per document its spans as an array of (start, rank, end, kind), in order; empty where there are none.
 
     A null text is empty. Rows with one id are told apart by their texts. An empty table gives no rows.
     """
-    rows = spans(docs, reach, id_col, text_col).groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("start", "rank", "end", "kind"))).alias("spans"))
+    rows = spans(docs, reach, id_col, text_col, longest).groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("start", "rank", "end", "kind"))).alias("spans"))
     thin = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"))
     joined = thin.join(rows, null_safe(thin, rows, KEY), "left")
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string>>")

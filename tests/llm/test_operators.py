@@ -150,6 +150,15 @@ def test_one_of_each_component_stays(docs):
     assert kept.columns == docs.columns and sorted(x for x in got if x is not None) == sorted(wanted) and got.count(None) == 2
 
 
+def test_long_blobs_are_secrets(spark):
+    key = "aB3/" * 40
+    docs = spark.createDataFrame([(1, f"client_id: abc123 {key}"), (2, f"nothing beside {key}")], "doc_id long, text string")
+    found = {r.doc_id: [(x.kind, x.end - x.start) for x in r.spans] for r in secrets.secret_spans(docs).collect()}
+    assert found == {1: [("ident", 17), ("blob", 160)], 2: []}
+    assert all(r.spans == [] for r in secrets.secret_spans(docs, longest=90).collect())
+    assert {r.doc_id: r.text for r in secrets.redacted(docs).collect()}[1] == "[secret] [secret]"
+
+
 def test_shape_reads_the_whole_word():
     facts = weaklabel.WordFacts()
     assert facts["a" * 80][0] == facts["a" * 10][0] != facts["a" * 80 + "7"][0] == facts["a7"][0]
