@@ -7,7 +7,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.llm.common import components, small, written
@@ -169,23 +169,47 @@ def forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return edges
 
 
-def links(fps: DataFrame, distance: int = 3, bucket_limit: int = 8192) -> DataFrame:
-    """Edges (u, v) over distinct fingerprints `fp`: connected exactly as all pairs within `distance`.
+def crowded(keys: DataFrame, limit: int) -> DataFrame:
+    """(key, n) of the buckets above the limit, counted before anything is collected."""
+    return written(keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > limit), "crowded")
+
+
+def dealt(keys: DataFrame, large: DataFrame, finer: Column) -> DataFrame:
+    """The rows of large buckets under each of their finer keys, which may use the bucket's count n."""
+    joined = keys.join(large, "key", "left")
+    return joined.select("fp", F.explode(F.when(F.col("n").isNull(), F.array("key")).otherwise(finer)).alias("key"))
+
+
+def buckets(fps: DataFrame, distance: int = 3, bucket_limit: int = 8192) -> DataFrame:
+    """(fp, key): two fingerprints within `distance` share a key at least once.
 
     Buckets are the rows equal under one probe mask. A bucket above bucket_limit is dealt on by
-    blocks of all 64 bits, of which a linked pair has one equal, so no link is lost. Each bucket
-    gives a spanning forest of its verified links, never its pairs.
+    blocks of all 64 bits, of which a linked pair has one equal, so no link is lost. What is still
+    above it is cut into salted blocks, every two of which are one bucket of about half the limit.
     """
     n, matrix = bit_counts(fps)
     masks = probe_masks(choose_parts(n, matrix, distance))
     keys = fps.select("fp", F.explode(F.array(*[F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(signed(m)))) for k, m in enumerate(masks)])).alias("key"))
-    crowded = written(keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket_limit), "crowded")
-    if not crowded.isEmpty():
-        width = -(-BITS // (distance + 1))
-        blocks = [sum(1 << b for b in range(k, min(k + width, BITS))) for k in range(0, BITS, width)]
-        finer = F.array(*[F.xxhash64("key", F.lit(k), F.col("fp").bitwiseAND(F.lit(signed(m)))) for k, m in enumerate(blocks)])
-        keys = keys.join(crowded, "key", "left").select("fp", F.explode(F.when(F.col("n").isNull(), F.array("key")).otherwise(finer)).alias("key"))
-    buckets = keys.groupBy("key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).select("fps")
+    large = crowded(keys, bucket_limit)
+    if large.isEmpty():
+        return keys
+    width = -(-BITS // (distance + 1))
+    blocks = [sum(1 << b for b in range(k, min(k + width, BITS))) for k in range(0, BITS, width)]
+    keys = dealt(keys, large, F.array(*[F.xxhash64("key", F.lit(k), F.col("fp").bitwiseAND(F.lit(signed(m)))) for k, m in enumerate(blocks)]))
+    large = crowded(keys, bucket_limit)
+    if large.isEmpty():
+        return keys
+    salts = F.ceil(F.col("n") * 4 / bucket_limit).cast("int")
+    own = F.pmod(F.xxhash64("fp", F.lit("salt")), salts).cast("int")
+    return dealt(keys, large, F.transform(F.sequence(F.lit(0), salts - 1), lambda x: F.xxhash64("key", F.least(own, x), F.greatest(own, x))))
+
+
+def links(fps: DataFrame, distance: int = 3, bucket_limit: int = 8192) -> DataFrame:
+    """Edges (u, v) over distinct fingerprints `fp`: connected exactly as all pairs within `distance`.
+
+    Each bucket gives a spanning forest of its verified links, never its pairs.
+    """
+    lists = buckets(fps, distance, bucket_limit).groupBy("key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).select("fps")
 
     def run(batches):
         for batch in batches:
@@ -206,7 +230,7 @@ def links(fps: DataFrame, distance: int = 3, bucket_limit: int = 8192) -> DataFr
                     v.append(int(own[j]))
             yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.uint64).view(np.int64)) for x in (u, v)], ["u", "v"])
 
-    return buckets.mapInArrow(run, "u long, v long")
+    return lists.mapInArrow(run, "u long, v long")
 
 
 def membership(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3, salts: int = 32, bucket_limit: int = 8192) -> DataFrame:

@@ -133,6 +133,23 @@ def test_simhash_links_random_neighbours(spark):
                 assert find(i) == find(int(j))
 
 
+def test_simhash_buckets_stay_bounded(spark):
+    """A family that differs in ten bits of one block alone: three of the four blocks split nothing."""
+    df = spark.range(1024).select((F.col("id") + (1 << 40)).alias("fp"))
+    keys = simhash.buckets(df, 3, 256)
+    assert keys.groupBy("key").count().agg(F.max("count")).first()[0] <= 256
+    edges = simhash.links(df, 3, 256).toPandas()
+    seen, todo, near = {1 << 40}, [1 << 40], {}
+    for u, v in zip(edges.u.tolist(), edges.v.tolist(), strict=True):
+        near.setdefault(u, []).append(v)
+        near.setdefault(v, []).append(u)
+    while todo:
+        fresh = [x for x in near[todo.pop()] if x not in seen]
+        seen.update(fresh)
+        todo += fresh
+    assert len(seen) == 1024
+
+
 def test_thresholds_sum_to_the_pigeonhole_bound():
     matrix = np.full((64, 64), 250.0)
     np.fill_diagonal(matrix, 500.0)
