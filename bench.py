@@ -1,8 +1,10 @@
 """Time the headline queries: one warm-up run, then the median of the repeats.
 
-Prints one JSON line. BENCH_SF_DIR, BENCH_CPUS and BENCH_REPEATS set the data, cores and repeats; a query
-that takes long is repeated no more once its repeats have taken BENCH_SECONDS. Building a query's
-plan counts, as some join files while they are built.
+Prints one JSON line at the end, and each query's time on stderr as it goes. BENCH_SF_DIR, BENCH_CPUS and
+BENCH_REPEATS set the data, cores and repeats; a query that takes long is repeated no more once its
+repeats have taken BENCH_SECONDS, and one whose warm-up took longer than that counts with its warm-up.
+After BENCH_TOTAL seconds the line is printed with what has been measured, and `unfinished` names the rest.
+Building a query's plan counts, as some join files while they are built.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ import json
 import os
 import statistics
 import sys
+import threading
 import time
 from pathlib import Path
 
@@ -66,30 +69,50 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "5"))
+    limit = float(os.environ.get("BENCH_SECONDS", "20"))
+    total = float(os.environ.get("BENCH_TOTAL", "1200"))
     spark = local_session(cores=cores, app="bench")
-    limit = float(os.environ.get("BENCH_SECONDS", "30"))
-
-    def median(run) -> float:
-        seconds(lambda: run(spark, sf_dir))
-        found = []
-        while len(found) < repeats and sum(found) < limit:
+    settings = {"shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"), "spark": spark.version}
+    times: dict[str, float] = {}
+    pair: dict[str, float] = {}
+
+    def report() -> None:
+        result = {
+            "metric": "headline query time, sum of medians",
+            "value": round(sum(times.values()), 3),
+            "unit": "sec",
+            "queries": dict(times),
+            "pair": dict(pair),
+            "unfinished": [name for name in HEADLINE if name not in times],
+            "sf": sf_dir.rpartition("sf")[2].strip("/"),
+            "cores": cores,
+            **settings,
+        }
+        print(json.dumps(result), flush=True)
+
+    def out_of_time() -> None:
+        report()
+        os._exit(0)
+
+    watch = threading.Timer(total, out_of_time)
+    watch.daemon = True
+    watch.start()
+
+    def median(name: str, run) -> float:
+        first = seconds(lambda: run(spark, sf_dir))
+        found = [first] if first > limit else []
+        while not found or (first <= limit and len(found) < repeats and sum(found) < limit):
             found.append(seconds(lambda: run(spark, sf_dir)))
-        return round(statistics.median(found), 3)
-
-    times = {name: median(QUERIES[name]) for name in HEADLINE}
-    pair = {"ever_in_window": times["ever_in_window"], "range_join_count_distinct": median(range_join_form)}
-    result = {
-        "metric": "headline query time, sum of medians",
-        "value": round(sum(times.values()), 3),
-        "unit": "sec",
-        "queries": times,
-        "pair": pair,
-        "sf": sf_dir.rpartition("sf")[2].strip("/"),
-        "cores": cores,
-        "shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"),
-        "spark": spark.version,
-    }
-    print(json.dumps(result), flush=True)
+        took = round(statistics.median(found), 3)
+        print(f"{name} {took} s, {len(found)} runs", file=sys.stderr, flush=True)
+        return took
+
+    for name in HEADLINE:
+        times[name] = median(name, QUERIES[name])
+    pair["ever_in_window"] = times["ever_in_window"]
+    pair["range_join_count_distinct"] = median("range join", range_join_form)
+    watch.cancel()
+    report()
     spark.stop()
 
 
