@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweave.llm import contamination, hostrules, licenses, lm, packing, secrets, simhash, toxicity, warc, weaklabel
+from panelweave.llm import contamination, hostrules, licenses, lm, packing, periodic, secrets, simhash, tokencounts, toxicity, vectorcodes, warc, weaklabel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -195,3 +195,48 @@ def op9_licenses(spark, sf_dir):
 def op10_packing(spark, sf_dir):
     """Every document's pieces and their places in sequences of 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), 2048)
+
+
+_SQUARE = " + ".join(f"(p.q[{i}] - c.q[{i}]) * (p.q[{i}] - c.q[{i}])" for i in range(1, 5))
+_MEAN = ", ".join(f"CAST(floor(sum(p.q[{i}]) / count(*)) AS BIGINT)" for i in range(1, 5))
+
+
+def _nearest_sql(n: int) -> str:
+    """Each part's nearest entry in the codebooks of round n; ties to the lower index, as 64 entries share a distance."""
+    return f"""a{n} AS (SELECT r, part, key % 64 AS e, key // 64 AS d FROM (
+      SELECT r, p.part, min(({_SQUARE}) * 64 + e) AS key FROM p JOIN c{n} c ON p.part = c.part GROUP BY ALL))"""
+
+
+def _next_sql(n: int) -> str:
+    return f"""c{n + 1} AS (SELECT c.part, c.e, coalesce(m.q, c.q) AS q FROM c{n} c LEFT JOIN (
+      SELECT part, e, [{_MEAN}] AS q FROM a{n} JOIN p USING (r, part) GROUP BY part, e) m ON c.part = m.part AND c.e = m.e)"""
+
+
+OP11_SQL = f"""
+WITH k AS (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * x) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT r, vec_id, part, list_slice(v, 4 * part + 1, 4 * part + 4) AS q FROM k, (SELECT unnest(range(16)) AS part)),
+c0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e, q FROM p WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT 64)),
+{_nearest_sql(0)}, {_next_sql(0)}, {_nearest_sql(1)}, {_next_sql(1)}, {_nearest_sql(2)},
+codes AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY r),
+h AS (SELECT sha256(string_agg(array_to_string(q, ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM k JOIN codes USING (r), h
+"""
+
+
+@query(OP11_SQL)
+def op11_vector_codes(spark, sf_dir):
+    """Every usable vector as a code of 16 parts, by codebooks of 64 entries fitted in two rounds."""
+    return vectorcodes.vector_codes(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+
+
+@query()
+def op12_periodic_runs(spark, sf_dir):
+    """Every document's periodic runs of words, one document in ten made periodic first."""
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), shortest=24, times=3, rewrite=True)
+
+
+@query()
+def op13_token_counts(spark, sf_dir):
+    """Every document's tokens, and how far it may be read within 1024 of them, from its table of prefix counts."""
+    return tokencounts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=1024)
