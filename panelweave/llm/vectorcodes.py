@@ -214,7 +214,7 @@ def vector_codes(vectors: DataFrame, parts: int = 16, entries: int = 64, rounds:
     32-bit float); so are those of another length than the vector with the smallest id. A length that is
     no multiple of `parts` fails. Null ids are coded but start no entry; with fewer ids than entries, the
     codebooks are smaller; without any id, and for an empty table, there are no rows. Repeated rows are coded each;
-    equal ids start entries in the order of their vectors. Errors beyond a 64-bit number are null.
+    equal ids start entries in the order of their vectors. Errors and sums beyond a 64-bit number are null.
     Codebooks are the only thing that is broadcast or reaches the driver: parts * entries entries. Sums by label are made
     before the shuffle and joined back, broadcast where they are counted few.
     """
@@ -246,7 +246,7 @@ def vector_codes(vectors: DataFrame, parts: int = 16, entries: int = 64, rounds:
 
     types = dict(kept.dtypes)
     codes = written(kept.mapInArrow(coded, f"_id {types['_id']}, _label {types['_label']}, code string, error long"), "codes")
-    total = F.expr("try_cast(sum(CAST(error AS DECIMAL(38,0))) AS BIGINT)")
+    total = F.expr("CASE WHEN count(error) = count(*) THEN try_cast(sum(CAST(error AS DECIMAL(38,0))) AS BIGINT) END")
     labels = small(written(codes.groupBy("_label").agg(total.alias("label_error")), "label-errors"))
     joined = codes.join(labels, null_safe(codes, labels, ["_label"]), "left")
     return joined.select(codes["_id"].alias(id_col), "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))
