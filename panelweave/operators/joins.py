@@ -5,19 +5,32 @@ a partition of a full join that a hot key made too large. Two other forms are us
 
 * Two tables: one full join; or, for a known hot key, the keys a table lacks are added to it as rows
   without attributes. Then every key exists on both sides and an inner join gives the same rows.
-* Many tables of codes or categories: all rows go through one shuffle on the key. Equal rows are
-  counted before it, so a key with very many rows arrives as its few different ones.
+* Many tables: their rows are stored once, bucketed and sorted by the key. The distinct keys of that table are the
+  frame, and the tables are merged onto it one after the other, bucket by bucket, without another
+  exchange. Keys that are null or hot are kept apart.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.functions.recode import code_text
+from panelweave.sources.store import store_bucketed
+
+HOT_ROWS = 500_000  # rows of one key in one table from which the key is dealt over many tasks
+SALTED_ROWS = 100_000  # rows of a hot key that go to one task
+REGULAR, WITH_NULL, HOT = range(3)
+
+
+def fresh(name: str, taken: Sequence[str]) -> str:
+    """The name, with underscores after it until it is none of those taken."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -66,10 +79,35 @@ def right_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
     return null_safe_join(right, left, keys, "left").select(*keys, *rest)
 
 
-def full_join_all(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Full join of any number of tables of codes or categories on the same keys.
+def hot_keys(frames: Sequence[DataFrame], keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[dict[int, tuple[int, int]], bool]:
+    """Hashes of the keys with very many rows, as {hash: (table with most of them, rows there)}, and whether any key is null.
 
-    Repeated keys give all combinations of their rows, as a chain of full joins would.
+    One pass over the keys without a shuffle: each task keeps the frequent items of a sketch, which misses none
+    that holds more than a thousandth of a table. Keys that share a hash are dealt alike, which is harmless.
+    """
+    key, some_null = F.xxhash64(*keys), reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    looks = [f.select(F.lit(i).alias("table"), key.alias("key"), some_null.alias("some_null")) for i, f in enumerate(frames)]
+    found = reduce(DataFrame.unionAll, looks).groupBy("table").agg(
+        F.expr("approx_top_k(key, 1000, 10000)").alias("top"), F.max("some_null").alias("some_null")
+    )
+    hot: dict[int, tuple[int, int]] = {}
+    any_null = False
+    for row in found.collect():  # a row for each table, a thousand items each at most
+        any_null = any_null or bool(row["some_null"])
+        for item in row["top"] or []:
+            if item["count"] >= hot_rows and item["count"] > hot.get(item["item"], (0, 0))[1]:
+                hot[item["item"]] = (row["table"], item["count"])
+    return hot, any_null
+
+
+def full_join_all(frames: Sequence[DataFrame], keys: Sequence[str], hot_rows: int = HOT_ROWS, salted_rows: int = SALTED_ROWS) -> DataFrame:
+    """Full join of any number of tables on the same keys, each row of them shuffled once.
+
+    Repeated keys give all combinations of their rows, as a chain of full joins would; null equals null. Three
+    tables or more are stored while the plan is built: each is read twice, for its keys and for its
+    rows. Keys with a null are joined among themselves; of a hot key,
+    the rows of the table that has most of them are dealt over salts and those of the others copied to
+    each salt, so no task gets a hot key whole.
     """
     if len(frames) == 1:
         return frames[0]
@@ -77,20 +115,48 @@ def full_join_all(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame
     names = [c for cs in columns for c in cs]
     if len(set(names)) < len(names):
         raise ValueError(f"columns found in two tables: {sorted({c for c in names if names.count(c) > 1})}")
-    tagged = [f.withColumn("__table", F.lit(i)) for i, f in enumerate(frames)]
+    if len(frames) == 2:
+        return full_join(*frames, keys)
+    hot, any_null = hot_keys(frames, keys, hot_rows)
+    table, apart = (fresh(n, [*names, *keys]) for n in ("__table", "__apart"))
+    some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    is_hot = F.xxhash64(*keys).isin(list(hot)) if hot else F.lit(False)
+    kind = F.when(is_hot, HOT).when(some_null, WITH_NULL).otherwise(REGULAR)
+    tagged = [f.select(F.lit(i).alias(table), kind.alias(apart), *f.columns) for i, f in enumerate(frames)]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    counted = rows.groupBy(*keys, "__table", *names).agg(F.count("*").alias("__n"))
-    lists = [
-        F.collect_list(F.when(F.col("__table") == i, F.struct(*cs, "__n"))).alias(f"__rows{i}")
-        for i, cs in enumerate(columns)
-    ]
-    gathered = counted.groupBy(*keys).agg(*lists)
-    for i in range(len(frames)):
-        gathered = gathered.withColumn(f"__rows{i}", F.explode_outer(f"__rows{i}"))
-    copies = reduce(lambda a, b: a * b, [F.coalesce(F.col(f"__rows{i}.__n"), F.lit(1)) for i in range(len(frames))])
-    copy = F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("__copy")
-    cells = [F.col(f"__rows{i}.{c}").alias(c) for i, cs in enumerate(columns) for c in cs]
-    return gathered.select(*keys, *cells, copy).drop("__copy")
+    # null for regular rows, which leaves the hash of their keys as it is: they meet in their bucket
+    spread = F.when(F.col(apart) != REGULAR, F.monotonically_increasing_id())
+    bucketed, plain = store_bucketed(rows, "joined", keys, [apart, table, *keys], spread)
+
+    def tables(stored: DataFrame, which: int) -> list[DataFrame]:
+        return [stored.where((F.col(apart) == which) & (F.col(table) == i)).select(*keys, *cs) for i, cs in enumerate(columns)]
+
+    merged = bucketed.where(F.col(apart) == REGULAR).select(*keys).distinct()
+    for t in tables(bucketed, REGULAR):
+        merged = merged.join(t, list(keys), "left")
+    parts = [merged]
+    if any_null:
+        merged = plain.where(F.col(apart) == WITH_NULL).select(*keys).distinct()
+        for t in tables(plain, WITH_NULL):
+            merged = null_safe_join(merged, t, keys, "left")
+        parts.append(merged)
+    for main in sorted({t for t, _ in hot.values()}):
+        parts.append(_salted(tables(plain, HOT), keys, main, {h: n for h, (t, n) in hot.items() if t == main}, salted_rows))
+    return reduce(DataFrame.unionAll, [p.select(*keys, *names) for p in parts])
+
+
+def _salted(tables: Sequence[DataFrame], keys: Sequence[str], main: int, hot: Mapping[int, int], salted_rows: int) -> DataFrame:
+    """Hot keys whose most rows are in table `main`: its rows dealt over salts, the others' rows copied to each."""
+    salt = fresh("__salt", [c for t in tables for c in t.columns])
+    key = F.xxhash64(*keys)
+    salts = F.create_map(*[F.lit(x) for h, n in hot.items() for x in (h, n // salted_rows + 1)])[key].cast("long")
+    mine = [t.where(key.isin(list(hot))) for t in tables]
+    joined = mine[main].withColumn(salt, F.pmod(F.monotonically_increasing_id(), salts))
+    for i, t in enumerate(mine):
+        if i != main:
+            copied = t.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
+            joined = null_safe_join(joined, copied, [*keys, salt], "left")
+    return joined
 
 
 def natural_full_join(left: DataFrame, right: DataFrame) -> DataFrame:

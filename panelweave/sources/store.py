@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -29,3 +30,22 @@ def store(df: DataFrame, name: str, partition_by: str | None = None, path: str |
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def store_bucketed(df: DataFrame, name: str, keys: Sequence[str], order: Sequence[str], spread: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Write a table in buckets of its keys, as many as shuffle partitions, and read it back: by bucket, and plain.
+
+    Joins and aggregates on these keys then need no exchange. A row for which `spread` is not null may be
+    written by any task, so a key that is all such rows does not meet in one; buckets of other rows are one
+    sorted file each. The name leaves the session's catalog at once; the files stay in the shared folder.
+    """
+    spark = df.sparkSession
+    label = f"{name}_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartition(parts, *keys, *([] if spread is None else [spread]))
+    dealt.write.bucketBy(parts, *keys).sortBy(*order).option("path", path).saveAsTable(label)
+    try:
+        return spark.table(label), spark.read.schema(df.schema).parquet(path)
+    finally:
+        spark.sql(f"DROP TABLE `{label}`")

@@ -178,3 +178,50 @@ def test_hot_person_crosses_the_shuffle_as_one_row(spark):
     assert got == long.select("iid").distinct().count()
     plan = counts.ever_in_window(long, 0, 10)._jdf.queryExecution().executedPlan().toString()
     assert "partial_bit_or" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def many_tables(spark):
+    """Three tables, a third of whose rows have a null key and another third one key; few keys repeat beside them."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id")).cast("int")
+    a = spark.range(6000).select(key.alias("k"), F.lit("p").alias("at"), F.col("id").alias("x"))
+    b = spark.createDataFrame([(7, "p", 1), (7, "p", 2), (None, "p", 3), (11, "p", 4), (11, None, 5), (None, None, 6)], "k int, at string, y int")
+    c = spark.createDataFrame([(7, "p", 1), (None, "p", 2), (11, "p", 3), (11, "p", 4), (-1, "q", 5), (None, None, 6)], "k int, at string, __table int")
+    return [a, b, c]
+
+
+def chain(frames, keys):
+    out = frames[0]
+    for f in frames[1:]:
+        out = joins.full_join(out, f, keys)
+    return out
+
+
+@pytest.mark.parametrize(("hot_rows", "salted_rows"), [(500, 100), (10**9, 10**9)])
+def test_many_table_join_with_null_and_hot_keys(spark, hot_rows, salted_rows):
+    frames, keys = many_tables(spark), ["k", "at"]
+    got = joins.full_join_all(frames, keys, hot_rows, salted_rows)
+    wanted = chain(frames, keys)
+    assert got.columns == wanted.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_hot_keys_are_found_without_a_shuffle_of_rows(spark):
+    frames = many_tables(spark)
+    hot, any_null = joins.hot_keys(frames, ["k", "at"], 500)
+    assert any_null and len(hot) == 2 and {t for t, _ in hot.values()} == {0} and all(n == 2000 for _, n in hot.values())
+    assert joins.hot_keys([f.na.drop() for f in frames], ["k", "at"], 10**9) == ({}, False)
+
+
+def test_null_keys_of_a_third_of_the_rows_are_written_by_many_tasks(spark):
+    """And the merge of the regular keys has neither an exchange nor a list."""
+    frames = [f.withColumn("__p", F.spark_partition_id()).drop("__p") for f in many_tables(spark)]
+    got = joins.full_join_all(frames, ["k", "at"], 10**9, 10**9)
+    files = got.inputFiles()
+    assert len(files) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        clean = [f.where("k IS NOT NULL AND at IS NOT NULL") for f in many_tables(spark)]
+        plan = joins.full_join_all(clean, ["k", "at"])._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 3 and "Exchange" not in plan and "ObjectHashAggregate" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
