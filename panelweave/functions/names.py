@@ -54,3 +54,11 @@ def rename_var(name: str, prefix: str) -> str:
 def strip_suffix(names: Iterable[str], pattern: str) -> dict[str, str]:
     """Old name to new name, for the names whose pattern match is removed."""
     return {n: re.sub(pattern, "", n, count=1) for n in names if re.search(pattern, n)}
+
+
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """The name, with underscores after it until it is none of those taken."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name

@@ -58,10 +58,23 @@ Target = float | Callable[[Column], Column]
 Recode = Sequence[tuple[Codes, Target]]
 
 
+def _literal(value: str | float | None) -> str:
+    """SQL text of a value: one expression of many values is built faster than a literal for each."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value) if isinstance(value, int) else f"{value!r}D"
+
+
+def _array(values: Sequence) -> Column:
+    return F.expr(f"array({', '.join(map(_literal, values))})")
+
+
 def matches(code: Column, codes: Codes) -> Column:
     if isinstance(codes, Span):
         return code.between(codes.low, codes.high)
-    return code.isin([float(c) for c in codes])
+    return F.array_contains(_array([float(c) for c in codes]), code)
 
 
 def first_match(*branches: tuple[Column, Column | float]) -> Column:
@@ -101,7 +114,7 @@ def position(code: Column) -> Column:
 
 def pick(values: Sequence, code: Column) -> Column:
     """The element of a fixed list at the code's position, null outside the list."""
-    return F.get(F.array(*[F.lit(v) for v in values]), position(code) - 1)
+    return F.get(_array(values), position(code) - 1)
 
 
 def comb_lookup(old: Column, new: Sequence[float | None]) -> Column:
@@ -121,8 +134,7 @@ def sweep_to_age(sweep: Column, ages: Sequence[int]) -> Column:
 
 def lookup(key: Column, names: Mapping[str, str]) -> Column:
     """Look a key up in a fixed dictionary, null where it has no entry."""
-    pairs = [F.lit(x) for item in names.items() for x in item]
-    return F.create_map(*pairs)[key]
+    return F.expr(f"map({', '.join(_literal(x) for item in names.items() for x in item)})")[key]
 
 
 def code_text(code: Column) -> Column:

@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelweave.functions.names import fresh
 from panelweave.functions.recode import code_text
 from panelweave.sources.store import store_bucketed
 
@@ -26,13 +27,6 @@ SALTED_ROWS = 100_000  # rows of a hot key that go to one task
 REGULAR, WITH_NULL, HOT = range(3)
 
 
-def fresh(name: str, taken: Sequence[str]) -> str:
-    """The name, with underscores after it until it is none of those taken."""
-    while name.lower() in {t.lower() for t in taken}:
-        name += "_"
-    return name
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null equals null; the keys come out once."""
     renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})

@@ -9,21 +9,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelweave.functions.names import select_matches
+from panelweave.functions.names import fresh, select_matches
+from panelweave.operators.levels import levels_of, value_with_levels
 
 
 def unpivot(
     df: DataFrame, ids: Sequence[str], name: str = "name", value: str = "value", columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per (id, column). Text and numeric columns mixed come out as text."""
+    """One row per (id, column). Text and numeric columns mixed come out as text; orders of labels are kept."""
     columns = list(columns) if columns else [c for c in df.columns if c not in ids]
     types = {df.schema[c].dataType for c in columns}
     if len(types) > 1 and T.StringType() in types:
         df = df.withColumns({c: F.col(c).cast("string") for c in columns})
-    return df.unpivot(list(ids), columns, name, value)
+    levels = levels_of(df.select(*[F.col(f"`{c}`") for c in columns]))
+    return value_with_levels(df.unpivot(list(ids), columns, name, value), levels, value)
 
 
-def _common_type(df: DataFrame, columns: Sequence[str]) -> T.DataType:
+def common_type(df: DataFrame, columns: Sequence[str]) -> T.DataType:
     """The type that holds all columns: text if any is text, else what Spark widens them to."""
     types = [df.schema[c].dataType for c in columns]
     if len(set(types)) == 1:
@@ -50,7 +52,7 @@ def unpivot_multi_value(
             raise ValueError(f"column {column!r} does not match {pattern!r}")
         stems.setdefault(found.group(1), {})[found.group(2)] = column
     names = list(dict.fromkeys(stem for columns in stems.values() for stem in columns))
-    types = {s: _common_type(df, [c[s] for c in stems.values() if s in c]) for s in names}
+    types = {s: common_type(df, [c[s] for c in stems.values() if s in c]) for s in names}
 
     def row(key: str, columns: dict[str, str]) -> Column:
         cells = [
@@ -78,10 +80,46 @@ def pivot_wider(df: DataFrame, keys: Sequence[str], names: str, value: str, leve
     return df.groupBy(*keys).pivot(names, list(levels)).agg(F.first(value, ignorenulls=True))
 
 
+BLOCK = 1000  # copies that one generator step makes of a row
+LEVELS = 5  # of blocks: BLOCK ** (LEVELS + 1) copies of a row at most in lists of BLOCK items
+
+
+def deal_copies(df: DataFrame, n: str, index: str | None = None, deal: bool = False) -> DataFrame:
+    """Repeat each row as often as its column `n` says, which goes; rows with n below 1 or null vanish.
+
+    Copies are made block by block, the block's number first and then the rest, so no array of all
+    copies stands in one row. `index` numbers them from 1. With `deal`, the blocks of rows with very many copies are
+    spread over the tasks; the other rows stay where they are.
+    """
+    block, size = fresh("__block", df.columns), fresh("__size", df.columns)
+    rest = [F.col(f"`{c}`") for c in df.columns if c != n]
+    count = F.col(f"`{n}`").cast("long")
+    rows = df.where(count >= 1).select(*rest, F.lit(0).cast("long").alias(block), count.alias(size))
+
+    def in_blocks(rows: DataFrame) -> DataFrame:
+        for level in range(LEVELS, 0, -1):
+            width = F.lit(BLOCK**level).cast("long")
+            first = F.transform(F.expr(f"sequence(0L, (`{size}` - 1) div {BLOCK**level}L)"), lambda i: i * width)  # noqa: B023
+            parts = F.transform(first, lambda i: F.struct((F.col(block) + i).alias(block), F.least(width, F.col(size) - i).alias(size)))  # noqa: B023
+            rows = rows.select(*rest, F.inline(parts))
+        return rows
+
+    if deal:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = in_blocks(rows.where(F.col(size) > BLOCK)).repartition(parts, F.col(block), F.monotonically_increasing_id())
+        rows = rows.where(F.col(size) <= BLOCK).unionAll(dealt)
+    else:
+        rows = in_blocks(rows)
+    copies = rows.select(*rest, F.explode(F.sequence(F.col(block) + 1, F.col(block) + F.col(size))).alias(index or block))
+    return copies if index else copies.drop(block)
+
+
 def uncount(df: DataFrame, n: Column | int, index: str) -> DataFrame:
     """Repeat each row `n` times, numbered from 1; rows with n below 1 or null vanish."""
     n = F.lit(n) if isinstance(n, int) else n
-    return df.filter(n >= 1).withColumn(index, F.explode(F.sequence(F.lit(1), n.cast("int"))))
+    times = fresh("__n", [*df.columns, index])
+    copies = deal_copies(df.withColumn(times, n.cast("int")), times, index)
+    return copies.withColumn(index, F.col(index).cast("int"))
 
 
 def spread_over(df: DataFrame, values: Sequence[int], name: str) -> DataFrame:
@@ -103,9 +141,9 @@ def chop_runs(df: DataFrame, keys: Sequence[str], column: str, into: str) -> Dat
 def unchop_runs(df: DataFrame, column: str, name: str) -> DataFrame:
     """Expand a list of (value, times) back to rows; empty lists vanish."""
     others = [c for c in df.columns if c != column]
-    runs = df.select(*others, F.inline(column))
-    copies = F.explode(F.sequence(F.lit(1), F.col("times")))
-    return runs.withColumn("copy", copies).select(*others, F.col("value").alias(name))
+    value, times = fresh("__value", others), fresh("__times", others)
+    runs = df.select(*others, F.inline(column).alias(value, times))
+    return deal_copies(runs, times, deal=True).select(*others, F.col(value).alias(name))
 
 
 def window_grid(df: DataFrame, first: str = "first", last: str = "last") -> DataFrame:

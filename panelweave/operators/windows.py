@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelweave.functions.names import fresh
+from panelweave.sources.store import store
+
 
 def earliest_with_ties(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """The rows of each key at its smallest `order` value, ties kept.
@@ -27,34 +30,20 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str | Co
     return df.withColumn("__row", F.row_number().over(w)).filter("__row = 1").drop("__row")
 
 
-def surrogate_id(df: DataFrame, key: str, name: str = "iid", parts: int | None = None, rows_per_part: int = 200_000) -> DataFrame:
+def surrogate_id(df: DataFrame, key: str, name: str = "iid", parts: int | None = None, rows_per_part: int = 1_000_000) -> DataFrame:
     """Number the rows 1, 2, 3, ... in the order of a unique key, without one global sort.
 
-    Rows go into buckets between sampled key values. The bucket is a function of the key alone, so
-    the sample decides how even the buckets are but never the numbers. There is a bucket for
-    each rows_per_part rows, a thousand at most for each of 50 sampled keys that reach the driver.
+    Rows go into ranges of the key, one for each rows_per_part rows, and are stored sorted with their place:
+    the range and the row within it. A row's number is its place in its range plus the rows of all earlier
+    ranges, of which there is one count each. A null key comes first; other columns may have any names.
     """
-    keys = df.select(key).filter(F.col(key).isNotNull())
-    n = keys.count()
-    parts = parts or min(max(n // rows_per_part + 1, 8), 1000)
-    fraction = min(1.0, 50 * parts / max(n, 1))
-    drawn = sorted(row[0] for row in keys.sample(fraction=fraction, seed=7).collect())
-    step = max(len(drawn) // parts, 1)
-    bounds = drawn[step::step]
-    bucket = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: F.col(key) >= b)) if bounds else F.lit(0)
-    rows = df.withColumn("__bucket", bucket)
-    # as many rows as buckets
-    before = F.sum("__n").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (
-        rows.groupBy("__bucket")
-        .agg(F.count("*").alias("__n"))
-        .select("__bucket", F.coalesce(before, F.lit(0)).alias("__before"))
-    )
-    number = F.row_number().over(Window.partitionBy("__bucket").orderBy(key))
-    return (
-        rows.withColumn("__number", number)
-        .join(offsets, "__bucket")
-        .withColumn(name, F.col("__before") + F.col("__number"))
-        .drop("__bucket", "__number", "__before")
-    )
-
+    place, part, before = fresh("__place", df.columns), fresh("__part", df.columns), fresh("__before", df.columns)
+    parts = parts or df.select(key).count() // rows_per_part + 1
+    sorted_rows = df.repartitionByRange(parts, key).sortWithinPartitions(key)
+    stored = store(sorted_rows.withColumn(place, F.monotonically_increasing_id()), "numbered")
+    # the upper bits of the place are the range, the lower 33 the row within it
+    ranged = stored.withColumn(part, F.shiftright(place, 33))
+    earlier = F.sum("n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))  # a row per range
+    offsets = ranged.groupBy(part).agg(F.count("*").alias("n")).select(part, F.coalesce(earlier, F.lit(0)).alias(before))
+    within = F.col(place).bitwiseAND((1 << 33) - 1)
+    return ranged.join(offsets, part).withColumn(name, F.col(before) + within + 1).drop(place, part, before)

@@ -12,8 +12,9 @@ from panelweave.operators.joins import full_join_all
 from panelweave.operators.windows import earliest_with_ties
 from panelweave.plans import codings as c
 from panelweave.plans import dictionaries as d
-from panelweave.plans.common import Study, by_age, load, once, responded, with_iid
+from panelweave.plans.common import Study, by_age, clean_tables, load, once, responded, with_iid
 from panelweave.sources.files import SurveyFiles
+from panelweave.sources.joined import reads
 
 ID = "bcsid"
 AGES = d.AGES["bcs70"]
@@ -178,6 +179,7 @@ def rgsc(files: SurveyFiles) -> DataFrame:
     )
 
 
+@reads(2)
 def social_class(files: SurveyFiles) -> DataFrame:
     """Both class schemes side by side."""
     return full_join_all([rgsc(files), nssec(files)], ["pid", "fup"])
@@ -200,7 +202,9 @@ def response(files: SurveyFiles) -> DataFrame:
     return responded(df, {v: AGES[int(v[6:8]) - 1] for v in df.columns if v != "pid"})
 
 
+RULES = [ethnicity, sex, sexuality, country, fsm, sen, marstat, religion, disabled, social_class]
+
+
 def harmonise(files: SurveyFiles) -> Study:
-    rules = [ethnicity, sex, sexuality, country, fsm, sen, marstat, religion, disabled, social_class]
-    clean = {rule.__name__: rule(files) for rule in rules}
+    clean = clean_tables(files, RULES)
     return Study("bcs70", ["pid"], sample(files), response(files), clean)

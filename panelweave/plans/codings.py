@@ -60,6 +60,7 @@ RELIGION_WAVE_8 = [2, 3, 4, 5, 7, 6, None, 1]
 NSSEC_SEVEN = [([1, 2], 1), ([3, 4, 5], Plus(-1)), ([6, 7], 5)]
 NSSEC_EIGHT = [(Span(1, 2), 1), ([3, 4, 5], Plus(-1)), ([6, 7], 5), ([8], 6)]
 NSSEC_BY_POSITION = [1, 1, 2, 3, 4, 5, 5, 6]
+NSSEC_FIVE = [1, 2, 3, 4, 5]
 CLASS_AT_BIRTH = [([1], 7), ([3, 4, 5, 6, 7, 8], Minus(9))]
 CLASS_SIX_REVERSED = [([1, 2, 3, 4, 5, 6], Minus(7))]
 CLASS_SIX = [([1, 2, 3, 4, 5, 6], SAME)]

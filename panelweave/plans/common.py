@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.functions.recode import Recode, code_to_category, lookup, recode_sources
+from panelweave.operators.levels import with_levels
 from panelweave.operators.reshape import unpivot
+from panelweave.plans.dictionaries import CATEGORIES
 from panelweave.sources.files import SurveyFiles
 
 
@@ -24,6 +26,11 @@ class Study:
     clean: Mapping[str, DataFrame]
 
 
+def clean_tables(files: SurveyFiles, rules: Sequence[Callable[[SurveyFiles], DataFrame]]) -> dict[str, DataFrame]:
+    """The tables of all rules by name, their columns with the order of their categories."""
+    return {rule.__name__: with_levels(rule(files), CATEGORIES) for rule in rules}
+
+
 def load(files: SurveyFiles, iid: str, **search) -> DataFrame:
     """The variables found, side by side, with the person in `pid`."""
     return files.load_joined(files.search(**search), iid).withColumnRenamed(iid, "pid")

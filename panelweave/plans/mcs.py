@@ -19,14 +19,15 @@ from panelweave.functions.recode import (
     recode_sources,
     sweep_to_age,
 )
-from panelweave.operators.combine import group_min, stack
-from panelweave.operators.joins import full_join_all, null_safe_join
-from panelweave.operators.reshape import uncount, unpivot
+from panelweave.operators.combine import group_min
+from panelweave.operators.joins import null_safe_join
+from panelweave.operators.reshape import uncount
 from panelweave.operators.windows import earliest_with_ties, first_per_group
 from panelweave.plans import codings as c
 from panelweave.plans import dictionaries as d
-from panelweave.plans.common import Study, with_iid
+from panelweave.plans.common import Study, clean_tables, with_iid
 from panelweave.sources.files import SurveyFiles
+from panelweave.sources.joined import reads
 
 ID = "mcsid"
 IDS = f"^{ID}$|(C|P)NUM00"
@@ -78,6 +79,7 @@ def child_variable(files: SurveyFiles, var_low: str) -> DataFrame:
     return df.withColumns({"cnum": F.col("gcnum00").try_cast("int"), "fup": F.lit(17)})
 
 
+@reads(2)
 def gender(files: SurveyFiles) -> DataFrame:
     """Gender compared with the sex recorded for the child."""
     df = null_safe_join(child_variable(files, "gcgnid00"), sex(files), CHILD, "left")
@@ -97,16 +99,12 @@ def sexuality(files: SurveyFiles) -> DataFrame:
     return df.select(*CHILD, "fup", code_to_category(code, d.SEXUALITY).alias("sexuality"))
 
 
+@reads(3)
 def country(files: SurveyFiles) -> DataFrame:
     """The family's country for all its children, and the child's own at 17."""
-    found = files.search(var_low="^.actry00$", dta="family_derived")
-    family = full_join_all([files.load(v.file_path, f"^{ID}$", [v.variable]) for v in found], [ID])
-    sweep = letter_ordinal(F.substring("name", 1, 1))
-    long = unpivot(family.withColumnRenamed(ID, "pid"), ["pid"]).select(
-        "pid",
-        sweep_to_age(sweep, AGES).alias("fup"),
-        code_to_category(recode(F.col("value"), c.COUNTRY_FOUR), d.COUNTRY).alias("country"),
-    )
+    family = by_sweep(files, var_low="^.actry00$", dta="family_derived")
+    code = recode(F.col("actry00"), c.COUNTRY_FOUR)
+    long = family.select("pid", "fup", code_to_category(code, d.COUNTRY).alias("country"))
     shared = long.join(child(files), "pid").select(*CHILD, "fup", "country").na.drop()
     at_17 = child_variable(files, "gactry00").filter(F.col("gcnum00").isin(CHILDREN))
     own = at_17.select(
@@ -137,6 +135,7 @@ def sen(files: SurveyFiles) -> DataFrame:
     return first_per_group(answers, [*CHILD, "fup"], ["_file", "_row"]).select(*CHILD, "fup", "sen")
 
 
+@reads(3)
 def religion(files: SurveyFiles) -> DataFrame:
     """The child's answers, and up to age 11 the main parent's for all children of the family."""
     own = by_sweep(files, suffix="_r20$", dta="cm_interview", var_low="^.crel.00")
@@ -193,31 +192,34 @@ def sample(files: SurveyFiles) -> DataFrame:
     return with_iid(child(files), CHILD)
 
 
+@reads(2)
 def response(files: SurveyFiles) -> DataFrame:
     """Ages at which a child of the sample has an interview row."""
-    sweeps = []
+    places = {}
     for sweep, age in enumerate(AGES, 1):
-        for path in sorted({v.file_path for v in files.search(fld=f"^{age}y$", dta=f"^mcs{sweep}_cm_interview$")}):
-            df = files.load(path, f"^{ID}$|^.CNUM00", [])
-            number = next(n for n in df.columns if n != ID)
-            number = F.col(number).try_cast("int").alias("cnum")
-            sweeps.append(df.select(F.col(ID).alias("pid"), number, F.lit(age).alias("fup")))
-    return with_iid(stack(sweeps).join(child(files), CHILD).select(*CHILD, "fup"), CHILD)
+        for v in files.search(fld=f"^{age}y$", dta=f"^mcs{sweep}_cm_interview$", variable="(?i)^.CNUM00$"):
+            places[v] = age
+    ages = F.array(*[F.lit(age) for age in places.values()])
+    rows = files.load_stacked(list(places), f"^{ID}$", ID).withColumnRenamed(ID, "pid")
+    rows = rows.select("pid", F.col("cnum00").try_cast("int").alias("cnum"), F.get(ages, F.col("_file")).alias("fup"))
+    return with_iid(rows.join(child(files), CHILD).select(*CHILD, "fup"), CHILD)
+
+
+RULES = [
+    ethnicity,
+    sex,
+    gender,
+    sexuality,
+    country,
+    fsm,
+    sen,
+    religion,
+    disabled,
+    social_class,
+    carer,
+]
 
 
 def harmonise(files: SurveyFiles) -> Study:
-    rules = [
-        ethnicity,
-        sex,
-        gender,
-        sexuality,
-        country,
-        fsm,
-        sen,
-        religion,
-        disabled,
-        social_class,
-        carer,
-    ]
-    clean = {rule.__name__: rule(files) for rule in rules}
+    clean = clean_tables(files, RULES)
     return Study("mcs", CHILD, sample(files), response(files), clean)

@@ -11,8 +11,9 @@ from panelweave.functions.recode import Minus, Span, first_match
 from panelweave.operators.joins import full_join_all
 from panelweave.plans import codings as c
 from panelweave.plans import dictionaries as d
-from panelweave.plans.common import Study, by_age, categorise, load, responded, with_iid
+from panelweave.plans.common import Study, by_age, categorise, clean_tables, load, responded, with_iid
 from panelweave.sources.files import SurveyFiles
+from panelweave.sources.joined import reads
 
 ID = "ncdsid"
 AGES = d.AGES["ncds"]
@@ -170,6 +171,7 @@ def rgsc(files: SurveyFiles) -> DataFrame:
     )
 
 
+@reads(2)
 def social_class(files: SurveyFiles) -> DataFrame:
     """Both class schemes side by side."""
     return full_join_all([rgsc(files), nssec(files)], ["pid", "fup"])
@@ -192,7 +194,9 @@ def response(files: SurveyFiles) -> DataFrame:
     return responded(df, {v: sweep_age(v[6:8], 8) for v in df.columns if v != "pid"})
 
 
+RULES = [ethnicity, sex, country, fsm, sen, marstat, religion, disabled, social_class]
+
+
 def harmonise(files: SurveyFiles) -> Study:
-    rules = [ethnicity, sex, country, fsm, sen, marstat, religion, disabled, social_class]
-    clean = {rule.__name__: rule(files) for rule in rules}
+    clean = clean_tables(files, RULES)
     return Study("ncds", ["pid"], sample(files), response(files), clean)

@@ -13,8 +13,9 @@ from panelweave.operators.reshape import clean_to_long, unpivot, unpivot_multi_v
 from panelweave.operators.windows import earliest_with_ties
 from panelweave.plans import codings as c
 from panelweave.plans import dictionaries as d
-from panelweave.plans.common import Study, by_age, categorise, load, responded, with_iid
+from panelweave.plans.common import Study, by_age, categorise, clean_tables, load, responded, with_iid
 from panelweave.sources.files import SurveyFiles
+from panelweave.sources.joined import reads
 
 ID = "nsid"
 AGES = d.AGES["next_steps"]
@@ -45,6 +46,7 @@ def ethnicity(files: SurveyFiles) -> DataFrame:
     return earliest_report(df.withColumns(codes), "ethnic_group", d.ETHNIC)
 
 
+@reads(2)
 def sex(files: SurveyFiles) -> DataFrame:
     """The household grid's entry for the young person, else the earliest wave's."""
     df = load(files, ID, var_low=r"^(w8cmsex|w\dsex(|yp))$", fld="^eul$")
@@ -109,14 +111,17 @@ def disabled(files: SurveyFiles) -> DataFrame:
     return by_wave(df.select("pid", *[code.alias(v) for v, code in codes.items()]), "disabled", d.BINARY)
 
 
-def social_class(files: SurveyFiles) -> DataFrame:
-    """At wave 5 the higher class of the two parents counts."""
+def social_class(files: SurveyFiles, five_class: bool = False) -> DataFrame:
+    """At wave 5 the higher class of the two parents counts.
+
+    The variable of wave 8 has five classes but is mapped like those of eight; five_class maps it by its own.
+    """
     names = "w[1-4](|c)nssecfam|w5cnssec(mum|dad)|w6nssecyp|w7nssec|w8dnssec5"
     df = load(files, ID, var_low=f"^({names})$")
     parents = [negative_to_null(F.col(v)) for v in ("w5cnssecmum", "w5cnssecdad")]
     df = df.withColumn("w5cnssecfam", F.least(*parents)).drop("w5cnssecmum", "w5cnssecdad")
     codes = [
-        comb_lookup(F.col(v), c.NSSEC_BY_POSITION).alias(rename_var(v, "nssec"))
+        comb_lookup(F.col(v), c.NSSEC_FIVE if five_class and v == "w8dnssec5" else c.NSSEC_BY_POSITION).alias(rename_var(v, "nssec"))
         for v in select_matches(df.columns, r"^w\d")
     ]
     return by_wave(df.select("pid", *codes), "nssec", d.NSSEC)
@@ -147,7 +152,9 @@ def response(files: SurveyFiles) -> DataFrame:
     return responded(df, {v: AGES[int(v[1]) - 1] for v in df.columns if v != "pid"})
 
 
+RULES = [ethnicity, sex, sexuality, country, sen, marstat, religion, disabled, social_class, carer]
+
+
 def harmonise(files: SurveyFiles) -> Study:
-    rules = [ethnicity, sex, sexuality, country, sen, marstat, religion, disabled, social_class, carer]
-    clean = {rule.__name__: rule(files) for rule in rules}
+    clean = clean_tables(files, RULES)
     return Study("next_steps", ["pid"], sample(files), response(files), clean)

@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelweave.operators.combine import stack, stack_tagged
+from panelweave.operators.combine import side_by_side, stack, stack_tagged
 from panelweave.operators.joins import natural_full_join_all, right_join
-from panelweave.operators.reshape import spread_over, unpivot
+from panelweave.operators.levels import levels_of, value_with_levels, with_levels
+from panelweave.operators.reshape import deal_copies, spread_over, unpivot
 from panelweave.plans.common import Study
-from panelweave.plans.dictionaries import AGES
+from panelweave.plans.dictionaries import AGES, ATTRIBUTES, CATEGORIES
 
 PANEL_KEYS = ["study", "iid", "fup"]
 CHILDREN = [1, 2]
@@ -81,7 +82,85 @@ def responder_values(studies: Sequence[Study]) -> DataFrame:
         }
     )
     rows_at = [F.expr(f"c{j} * (all{j} div greatest(e{j}, 1)) AS n{j}") for j in sweeps]
-    return counted.filter("responded AND value IS NOT NULL").select("study", "iid", "name", "value", *rows_at)
+    found = counted.filter("responded AND value IS NOT NULL").select("study", "iid", "name", "value", *rows_at)
+    return value_with_levels(found, study_levels(studies))
+
+
+def study_levels(studies: Sequence[Study]) -> dict[str, list[str]]:
+    """The order of the categories of every attribute, as the studies' tables carry it."""
+    return {"response": CATEGORIES["response"], **levels_of(*[df for s in studies for df in s.clean.values()])}
+
+
+def responder_table(studies: Sequence[Study]) -> DataFrame:
+    """The wide panel of responders by aggregation alone: person keys, `response` and one column per attribute.
+
+    Equal entries of a table are counted before the shuffle, so a person arrives with few rows however many
+    entries there are. The different entries of a table at an age are numbered; a panel row is a number in
+    the mixed base of these counts, and an entry stands in every row whose digit for its table is the
+    entry's number. One aggregation by person, age and row then puts the entries side by side, and equal
+    rows are dealt out as copies. Where every table has one entry, as nearly everywhere, that is one row.
+    """
+    names = [name for name in ATTRIBUTES if name != "response"]
+    tables = list(dict.fromkeys(t for s in studies for t in [*s.clean, "response"]))
+    person, here = ["study", "pid", "cnum"], ["study", "pid", "cnum", "sweep"]
+    rows = side_by_side([f for s in studies for f in _entries(s, names, tables)])
+    counted = rows.groupBy(*person, "iid", "sweep", "table", *names).agg(F.count("*").alias("times"))
+    answered = F.collect_set(F.expr(f"CASE WHEN table = {tables.index('response')} THEN sweep END")).over(Window.partitionBy(*person))
+    at = F.expr(f"CASE WHEN sweep = {EVERY_SWEEP} THEN answered ELSE filter(answered, x -> x = sweep) END")
+    entries = counted.repartition(*person).withColumn("answered", answered).withColumn("sweep", F.explode(at)).drop("answered")
+    in_table = Window.partitionBy(*here, "table")
+    entries = entries.withColumns(
+        {"digit": F.row_number().over(in_table.orderBy(*names)) - 1, "entries": F.count("*").over(in_table)}
+    )
+    # One item per table that has an entry there: the counts below a table's own are its place value.
+    first = F.expr("CASE WHEN digit = 0 THEN named_struct('table', table, 'n', entries) END")
+    bases = F.collect_list(first).over(Window.partitionBy(*here))
+    entries = entries.withColumn("bases", bases).withColumns(
+        {
+            "total": _times(F.transform("bases", lambda b: b["n"])),
+            "place": _times(F.transform(F.filter("bases", lambda b: b["table"] < F.col("table")), lambda b: b["n"])),
+        }
+    )
+    # The rows of an entry: any number above its digit, any below.
+    low = F.expr("sequence(0L, place - 1)")
+    high = F.expr("sequence(0L, total div (place * entries) - 1)")
+    placed = entries.withColumn("high", F.explode(high)).withColumn("low", F.explode(low))
+    placed = placed.withColumn("row", F.expr("(high * entries + digit) * place + low"))
+    cells = [F.max(n).alias(n) for n in names]
+    times = [F.max(F.expr(f"CASE WHEN table = {k} THEN times END")).alias(f"times{k}") for k in range(len(tables))]
+    wide = placed.groupBy(*here, "row").agg(F.first("iid").alias("iid"), *cells, *times)
+    copies = _times(F.array(*[F.coalesce(f"times{k}", F.lit(1)) for k in range(len(tables))]))
+    age = F.get(sweep_ages(), F.col("sweep")).alias("fup")
+    panel = wide.select("study", "iid", age, F.lit("Yes").alias("response"), *names, copies.alias("copies"))
+    return with_levels(deal_copies(panel, "copies"), study_levels(studies))
+
+
+def _entries(study: Study, names: Sequence[str], tables: Sequence[str]) -> list[DataFrame]:
+    """The tables of a study in the columns of the wide panel; ages as the sweep's place in the calendar."""
+    children = len(study.keys) > 1
+    calendar = ", ".join(map(str, AGES[study.name]))
+    present = " AND ".join(f"{k} IS NOT NULL" for k in study.keys)
+    iid = "concat_ws('_', pid, cnum)" if children else "pid"
+    frames = []
+    for table, df in {**study.clean, "response": study.response}.items():
+        columns = df.columns
+        if "fup" in columns:
+            df = df.where(f"fup IN ({calendar})")
+        if children and "cnum" not in columns:
+            df = spread_over(df, CHILDREN, "cnum")
+        cells = [f"{n} AS {n}" if n in columns else f"CAST(NULL AS STRING) AS {n}" for n in names]
+        frames.append(
+            df.where(present).selectExpr(
+                f"'{study.name}' AS study",
+                "CAST(pid AS STRING) AS pid",
+                f"CAST({'cnum' if children else '0'} AS INT) AS cnum",
+                f"CAST({iid} AS STRING) AS iid",
+                f"CAST({f'array_position(array({calendar}), fup) - 1' if 'fup' in columns else EVERY_SWEEP} AS INT) AS sweep",
+                f"{tables.index(table)} AS table",
+                *cells,
+            )
+        )
+    return frames
 
 
 def _times(factors: Column) -> Column:

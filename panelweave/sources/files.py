@@ -81,7 +81,7 @@ class SurveyFiles:
         names = [c for c in df.columns if c != "_row"]
         keys = select_matches(names, ids)
         rest = [c for c in names if c not in keys and (variables is None or c in variables)]
-        return df.select(*[F.col(c).alias(c.lower()) for c in keys + rest], *(["_row"] if row else []))
+        return df.selectExpr(*[f"`{c}` AS `{c.lower()}`" for c in keys + rest], *(["_row"] if row else []))
 
     def load_joined(self, found: Sequence[Variable], iid: str) -> DataFrame:
         """The variables of all files side by side, files joined on the person."""

@@ -1,4 +1,4 @@
-"""The person files of a study joined once and stored, so that all rules read one table."""
+"""The files of a study read once and stored by person, so that all rules read one table."""
 
 from __future__ import annotations
 
@@ -8,81 +8,195 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelweave.functions.names import select_matches, strip_suffix
+from panelweave.operators.combine import side_by_side
+from panelweave.operators.reshape import common_type
 from panelweave.sources.files import SurveyFiles, Variable, chop
 from panelweave.sources.store import store
 
+Rule = Callable[[SurveyFiles], object]
+
+
+def reads(times: int) -> Callable[[Rule], Rule]:
+    """Says of a rule how often it asks for files; a rule without this asks once."""
+
+    def mark(rule: Rule) -> Rule:
+        rule.reads = times
+        return rule
+
+    return mark
+
+
+class _Enough(Exception):
+    """A rule has asked for all that it reads."""
+
 
 class _Wanted(SurveyFiles):
-    """Notes which variables rules join, on files without rows."""
+    """Notes which variables rules ask for, on files without rows, and stops each rule at its last request."""
 
     def __init__(self, spark: SparkSession, files: SurveyFiles):
-        schemas = {}
+        self.empty: dict[str, DataFrame] = {}
 
         def read(path: str) -> DataFrame:
-            if path not in schemas:
-                schemas[path] = files.open(path).schema
-            return spark.createDataFrame([], schemas[path])
+            if path not in self.empty:
+                self.empty[path] = spark.createDataFrame([], files.open(path).schema)
+            return self.empty[path]
 
         super().__init__(files.variables, read, files.labels)
-        self.found: dict[tuple[str, str], Variable] = {}
+        self.found: dict[str, set[str]] = {}
+        self.left = 0
+
+    def run(self, rules: Sequence[Rule]) -> dict[str, list[str]]:
+        """File to its wanted variables, both in catalogue order."""
+        for rule in rules:
+            self.left = getattr(rule, "reads", 1)
+            try:
+                rule(self)
+            except _Enough:
+                pass
+        return {p: [n for n in names if n in self.found[p]] for p, names in chop(self.variables).items() if p in self.found}
+
+    def _ask(self, path_names: dict[str, list[str]], ids: str) -> None:
+        for path, names in path_names.items():
+            self.found.setdefault(path, set()).update(wanted_names(self, path, ids, names))
+        self.left -= 1
+        if not self.left:
+            raise _Enough
+
+    def load(self, path: str, ids: str, variables: Sequence[str] | None = None, row: bool = False) -> DataFrame:
+        known = [v.variable for v in self.variables if v.file_path == path]
+        self._ask({path: known if variables is None else [n for n in known if n in variables]}, ids)
+        return super().load(path, ids, variables, row)
 
     def load_joined(self, found: Sequence[Variable], iid: str) -> DataFrame:
-        self.found |= {(v.file_path, v.variable): v for v in found}
-        frames = [self.load(path, f"^{iid}$", names) for path, names in chop(found).items()]
-        fields = {f.name: f for df in reversed(frames) for f in df.schema.fields}
-        key = frames[0].columns[0]
-        names = [key, *(c for df in frames for c in df.columns if c != key)]
-        return frames[0].sparkSession.createDataFrame([], reduce(lambda s, n: s.add(fields[n]), names, type(frames[0].schema)()))
+        self._ask(chop(found), f"^{iid}$")
+        frames = [super(_Wanted, self).load(path, f"^{iid}$", names) for path, names in chop(found).items()]
+        return reduce(lambda a, b: a.join(b, a.columns[0]), frames)
+
+    def load_stacked(self, found: Sequence[Variable], ids: str, iid: str, suffix: str | None = None, per_variable: bool = False) -> DataFrame:
+        self._ask(chop(found), ids)
+        left, self.left = self.left, -1  # its parts are no requests of the rule
+        out = super().load_stacked(found, ids, iid, suffix, per_variable)
+        self.left = left
+        return out
 
 
 class JoinedFiles(SurveyFiles):
-    """Files whose variables stand side by side in one stored table, one row per person.
+    """Person files whose variables stand side by side in one stored table, one row per person.
 
     Every file is read once and its rows cross one shuffle on the person; equal persons of one file
     meet in the same row, which counts them. A file in which a person occurs twice (a household grid)
-    is joined from the file itself whenever a rule asks for it, so no row is lost.
+    is read from the file itself whenever a rule asks for it, so no row is lost.
     """
 
-    def __init__(self, files: SurveyFiles, iid: str, wanted: Sequence[Variable]):
+    def __init__(self, files: SurveyFiles, iid: str, wanted: dict[str, list[str]]):
         super().__init__(files.variables, files.open, files.labels)
-        self.iid = iid
+        self.iid = iid.lower()
         self.columns: dict[tuple[str, str], str] = {}
         self.counts: dict[str, str] = {}
-        rows, kinds = [], {}
-        for k, (path, names) in enumerate(chop(wanted).items()):
+        parts = []
+        for k, (path, names) in enumerate(wanted.items()):
             df = files.load(path, f"^{iid}$", names)
-            key = df.columns[0]
             self.counts[path] = f"n{k}"
-            cells = []
-            for j, name in enumerate(names):
-                self.columns[path, name] = f"c{k}_{j}"
-                kinds[f"c{k}_{j}"] = df.schema[name.lower()].dataType
-                cells.append(F.col(name.lower()).alias(f"c{k}_{j}"))
-            rows.append((df.select(F.col(key).alias(iid), F.lit(1).cast("long").alias(f"n{k}"), *cells), {f"n{k}", *(f"c{k}_{j}" for j in range(len(names)))}))
-        names = [*self.counts.values(), *self.columns.values()]
-
-        def filled(df: DataFrame, own: set[str]) -> DataFrame:
-            return df.select(iid, *[F.col(n) if n in own else F.lit(None).cast(kinds.get(n, "long")).alias(n) for n in names])
-
-        union = reduce(DataFrame.unionAll, [filled(df, own) for df, own in rows])
-        sums = [F.sum(n).alias(n) for n in self.counts.values()]
-        self.table = store(union.groupBy(iid).agg(*sums, *[F.max(n).alias(n) for n in self.columns.values()]), "persons")
+            own = [n for n in names if n.lower() != self.iid]
+            self.columns |= {(path, n): f"c{k}_{j}" for j, n in enumerate(own)}
+            parts.append(df.selectExpr(f"`{self.iid}` AS key", f"1L AS n{k}", *[f"`{n.lower()}` AS {self.columns[path, n]}" for n in own]))
+        sums, rest = ([f(c).alias(c) for c in cs.values()] for f, cs in ((F.sum, self.counts), (F.max, self.columns)))
+        self.table = store(side_by_side(parts).groupBy("key").agg(*sums, *rest), "persons")
         most = self.table.agg(*[F.max(n).alias(n) for n in self.counts.values()]).first()
         self.single = {path for path, n in self.counts.items() if (most[n] or 0) <= 1}
 
+    def _has(self, path: str, names: Sequence[str]) -> bool:
+        return path in self.single and all((path, n) in self.columns or n.lower() == self.iid for n in names)
+
+    def _cells(self, path: str, names: Sequence[str]) -> list[str]:
+        return [f"{'key' if n.lower() == self.iid else self.columns[path, n]} AS `{n.lower()}`" for n in names]
+
+    def load(self, path: str, ids: str, variables: Sequence[str] | None = None, row: bool = False) -> DataFrame:
+        names = wanted_names(self, path, ids, variables)
+        if row or not self._has(path, names):
+            return super().load(path, ids, variables, row)
+        return self.table.where(f"{self.counts[path]} > 0").selectExpr(*self._cells(path, names))
+
     def load_joined(self, found: Sequence[Variable], iid: str) -> DataFrame:
         files = chop(found)
-        known = iid == self.iid and all(v.file_path in self.single and (v.file_path, v.variable) in self.columns for v in found)
         names = [v.var_low for v in found]
+        known = iid.lower() == self.iid and all(self._has(path, vs) for path, vs in files.items())
         if not known or len(set(names)) < len(names):
             return super().load_joined(found, iid)
-        present = reduce(lambda a, b: a | b, [F.col(self.counts[path]) > 0 for path in files])
-        cells = [F.col(self.columns[path, name]).alias(name.lower()) for path, vs in files.items() for name in vs]
-        return self.table.filter(present).select(F.col(iid).alias(iid.lower()), *cells)
+        present = " OR ".join(f"{self.counts[path]} > 0" for path in files)
+        cells = [c for path, vs in files.items() for c in self._cells(path, vs)]
+        return self.table.where(present).selectExpr(f"key AS `{self.iid}`", *cells)
+
 
+class StackedFiles(SurveyFiles):
+    """Files of several keys and repeated rows (families, their children and parents) in one stored table.
 
-def joined_once(spark: SparkSession, files: SurveyFiles, iid: str, harmonise: Callable[[SurveyFiles], object]) -> SurveyFiles:
-    """The files with everything that `harmonise` joins by person stored side by side."""
-    wanted = _Wanted(spark, files)
-    harmonise(wanted)
-    return JoinedFiles(files, iid, list(wanted.found.values())) if wanted.found else files
+    Every file is read once, and its rows are stored as they are with the file's number: no row meets another, so
+    a family or a child with any number of rows is no group. Rules read the rows of their files, which the
+    stored parts' statistics leave out otherwise, and stack them in one pass.
+    """
+
+    def __init__(self, files: SurveyFiles, iid: str, wanted: dict[str, list[str]]):
+        super().__init__(files.variables, files.open, files.labels)
+        self.iid = iid.lower()
+        self.columns: dict[tuple[str, str], str] = {}
+        self.place = {path: k for k, path in enumerate(wanted)}
+        parts = []
+        for k, (path, names) in enumerate(wanted.items()):
+            df = files.open(path)
+            self.columns |= {(path, n): f"c{k}_{j}" for j, n in enumerate(names)}
+            row = ["_row"] if "_row" in df.columns else []
+            parts.append(df.selectExpr(f"CAST({k} AS INT) AS file", *row, *[f"`{n}` AS {self.columns[path, n]}" for n in names]))
+        self.table = store(side_by_side(parts), "families")
+
+    def load(self, path: str, ids: str, variables: Sequence[str] | None = None, row: bool = False) -> DataFrame:
+        names = wanted_names(self, path, ids, variables)
+        if not all((path, n) in self.columns for n in names):
+            return super().load(path, ids, variables, row)
+        cells = [f"{self.columns[path, n]} AS `{n.lower()}`" for n in names]
+        return self.table.where(f"file = {self.place[path]}").selectExpr(*cells, *(["_row"] if row else []))
+
+    def load_stacked(self, found: Sequence[Variable], ids: str, iid: str, suffix: str | None = None, per_variable: bool = False) -> DataFrame:
+        parts = [(v.file_path, [v.variable]) for v in found] if per_variable else list(chop(found).items())
+        wanted = [(path, wanted_names(self, path, ids, names)) for path, names in parts]
+        if not parts or not all((path, n) in self.columns for path, names in wanted for n in names):
+            return super().load_stacked(found, ids, iid, suffix, per_variable)
+        rows: list[tuple[str, int, str, dict[str, str]]] = []  # file, its place among those found, sweep, stems
+        for ordinal, (path, names) in enumerate(wanted):
+            sweeps: dict[str, dict[str, str]] = {}
+            for name in names:
+                low = name.lower()
+                if low != self.iid:
+                    low = strip_suffix([low], suffix).get(low, low) if suffix else low
+                    sweeps.setdefault(low[0], {})[low[1:]] = self.columns[path, name]
+            rows += [(path, ordinal, sweep, stems) for sweep, stems in sweeps.items()]
+        stems = list(dict.fromkeys(stem for *_, own in rows for stem in own))
+        types = {s: common_type(self.table, [own[s] for *_, own in rows if s in own]).simpleString() for s in stems}
+        branches: dict[str, list[str]] = {}
+        for path, ordinal, sweep, own in rows:
+            key = next(self.columns[path, n] for n in wanted[ordinal][1] if n.lower() == self.iid)
+            values = ", ".join(f"'{s}', CAST({own.get(s, 'NULL')} AS {types[s]})" for s in stems)
+            branches.setdefault(path, []).append(f"named_struct('{iid}', {key}, '_row', _row, 'sweep', '{sweep}', {values}, '_file', {ordinal})")
+        cases = " ".join(f"WHEN {self.place[path]} THEN array({', '.join(structs)})" for path, structs in branches.items())
+        here = ", ".join(str(self.place[path]) for path in branches)
+        return self.table.where(f"file IN ({here})").selectExpr(f"inline(CASE file {cases} END)")
+
+
+def wanted_names(files: SurveyFiles, path: str, ids: str, variables: Sequence[str] | None = None) -> list[str]:
+    """The names that `load` reads: those matching `ids`, then the wanted ones, or all."""
+    known = [v.variable for v in files.variables if v.file_path == path]
+    keys = select_matches(known, ids)
+    return keys + [n for n in known if n not in keys and (variables is None or n in variables)]
+
+
+def joined_once(spark: SparkSession, files: SurveyFiles, iid: str, rules: Sequence[Rule]) -> SurveyFiles:
+    """Person files with everything that the rules ask for stored by person."""
+    wanted = _Wanted(spark, files).run(rules)
+    return JoinedFiles(files, iid, wanted) if wanted else files
+
+
+def stacked_once(spark: SparkSession, files: SurveyFiles, iid: str, rules: Sequence[Rule]) -> SurveyFiles:
+    """Files of any keys with everything that the rules ask for stored as it is."""
+    wanted = _Wanted(spark, files).run(rules)
+    return StackedFiles(files, iid, wanted) if wanted else files

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from panelweave.operators.combine import stack_tagged
-from panelweave.plans.counts import age_span, ages_observed, count_by_sweep, observation_masks, window_counts
+from panelweave.plans.counts import count_by_sweep, observed_ages, window_counts
 from panelweave.sources.store import store
 from panelweave.workload.orders_panel import LONG_SQL, panel_long, person_long, person_study
 from panelweave.workload.registry import SQL, query, table
@@ -34,10 +34,8 @@ def persons_per_window(spark, sf):
     The years of a customer are combined before the region is joined on, so the join sees one row
     per customer and value.
     """
-    first, last = age_span(person_long(spark, sf))
-    masks = observation_masks(person_long(spark, sf), ["iid", "name", "value"], first, last)
-    observed = ages_observed(masks, first, last).join(person_study(spark, sf), "iid")
-    return window_counts(observed)
+    observed = observed_ages(person_long(spark, sf), ["iid", "name", "value"])
+    return window_counts(observed.join(person_study(spark, sf), "iid"))
 
 
 @query(
@@ -61,7 +59,7 @@ def ever_in_window_days(spark, sf):
         F.lit("spend").alias("name"),
         F.when(F.col("value") >= 20, "High").otherwise("Low").alias("value"),
     )
-    return ever_in_window(long, 1, 31)
+    return ever_in_window(long)
 
 
 @query(

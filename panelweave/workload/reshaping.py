@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelweave.operators import reshape as r
-from panelweave.plans.counts import age_windows, category_levels, observed_levels
-from panelweave.sources.catalog import labels_to_grid
+from panelweave.plans.counts import category_levels, observed_levels, windows_between
+from panelweave.sources.catalog import catalog_variables, labels_to_grid, value_labels
+from panelweave.sources.store import shared_folder, store
 from panelweave.workload.orders_panel import LEVELS, LONG_SQL, PERSON_SQL, person_long, person_study, person_years
 from panelweave.workload.recodes import _NULLED, _nulled
-from panelweave.workload.registry import query, table
+from panelweave.workload.registry import SQL, query, table
 
 
 @query(
@@ -90,6 +93,28 @@ def value_label_grid(spark, sf):
     return labels_to_grid(rows, ["priority", "returnflag", "status"])
 
 
+@query(SQL["value_label_grid"])
+def label_grid_from_files(spark, sf):
+    """The same from files whose columns carry their labels: store them, catalogue them, explode the label arrays.
+
+    The labels of a variable are its different codes, few enough for a column's metadata.
+    """
+    orders, lines, root = table(spark, sf, "orders"), table(spark, sf, "lineitem"), f"{shared_folder(spark)}/labels-{uuid.uuid4().hex}"
+    priority = (orders, "priority", F.substring("o_orderpriority", 1, 1).cast("double"), F.expr("substring(o_orderpriority, 3)"))
+    status = (orders, "status", (F.ascii("o_orderstatus") - 64).cast("double"), F.col("o_orderstatus"))
+    flag = (lines, "returnflag", (F.ascii("l_returnflag") - 64).cast("double"), F.col("l_returnflag"))
+    for file, key, variables in (("w1/orders", "o_orderkey", [priority, status]), ("w2/lines", "l_orderkey", [flag])):
+        cells = []
+        for df, name, code, label in variables:
+            known = df.select(code.alias("code"), label.alias("label")).where("code IS NOT NULL").distinct()
+            labels = [{"label": r["label"], "code": r["code"]} for r in known.orderBy("code").collect()]
+            cells.append(code.alias(name.upper(), metadata={"label": f"Code of {name}", "value_labels": labels}))
+        store(variables[0][0].select(key, *cells), file, path=f"{root}/{file}.parquet")
+    labels = value_labels(catalog_variables(spark, {"shop": root}))
+    grid = labels_to_grid(labels, ["PRIORITY", "RETURNFLAG", "STATUS"])
+    return grid.toDF(*[c.lower() for c in grid.columns])
+
+
 @query(
     """SELECT c_custkey, CAST(i AS INTEGER) AS cnum FROM customer JOIN (SELECT unnest(range(1, 10)) AS i)
     ON i <= CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_nationkey % 3 END"""
@@ -126,7 +151,8 @@ def unchop_rows(spark, sf):
 )
 def age_window_grid(spark, sf):
     """All windows between the first and last year observed, per study."""
-    return age_windows(person_years(spark, sf).select("iid", "fup").join(person_study(spark, sf), "iid"))
+    spans = person_years(spark, sf).groupBy("iid").agg(F.min("fup").alias("first"), F.max("fup").alias("last"))
+    return windows_between(spans.join(person_study(spark, sf), "iid"))
 
 
 _CALENDAR = """calendar AS (SELECT o_orderpriority AS study, CAST(year(o_orderdate) AS INTEGER) AS fup FROM orders

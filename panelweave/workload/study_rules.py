@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from panelweave.plans import bcs70, mcs, ncds, next_steps
 from panelweave.plans import dictionaries as d
-from panelweave.plans.counts import count_values_by_sweep, published, values_ever_in_window
-from panelweave.plans.panel import responder_panel, responder_values, stack_studies
+from panelweave.plans.counts import count_values_by_sweep, published, values_ever_in_window, var_levels
+from panelweave.plans.panel import responder_table, responder_values
 from panelweave.workload.registry import SQL, query
 from panelweave.workload.survey_inputs import mcs_sql, source_sql, studies, survey_files
 
@@ -917,13 +917,56 @@ def harmonised_windows(spark, sf):
 
 @query(f"WITH panel AS ({_study_panel('ncds')} UNION ALL {_study_panel('bcs70')}) SELECT * EXCLUDE (gender_identity, carer) FROM panel")
 def harmonised_panel(spark, sf):
-    """The wide panel of ncds and bcs70 alone; `harmonised_panel_all` has all four studies."""
-    tables = stack_studies(studies(spark, sf, ("ncds", "bcs70")))
-    return responder_panel(tables["wide"], tables["response"])
+    """The wide panel of ncds and bcs70 alone, in their own columns."""
+    return responder_table(studies(spark, sf, ("ncds", "bcs70"))).drop("gender_identity", "carer")
 
 
 @query(_PANEL)
 def harmonised_panel_all(spark, sf):
     """The wide panel of responders of all four studies, children of the millennium cohort by family and number."""
-    tables = stack_studies(studies(spark, sf))
-    return responder_panel(tables["wide"], tables["response"])
+    return responder_table(studies(spark, sf))
+
+
+_ORDER = " ".join(f"WHEN '{n}' THEN list_position([{', '.join(repr(v) for v in labels)}], value)" for n, labels in d.CATEGORIES.items())
+
+
+@query(
+    f"""WITH {_LONG} SELECT fup, {_NAMES}, value, count(*) AS n, CAST(CASE name {_ORDER} END AS INTEGER) AS code
+    FROM known WHERE value <> 'No' GROUP BY study, name, fup, value"""
+)
+def published_codes(spark, sf):
+    """Published counts per age with the place of each value in its attribute's order, carried from the studies' tables."""
+    return published(count_values_by_sweep(responder_values(studies(spark, sf))), "fup", code=True)
+
+
+_LEVELS = ", ".join(f"('{n}', {code}, '{label}')" for n, labels in d.CATEGORIES.items() for code, label in enumerate(labels, 1))
+
+
+@query(
+    f"""WITH {_LONG}, levels(name, code, value) AS (VALUES {_LEVELS}),
+    counted AS (SELECT name, value, count(*) AS n FROM known GROUP BY ALL)
+    SELECT {_named('name', d.ATTRIBUTES)} AS name_clean, CAST(code AS INTEGER) AS code, value, coalesce(n, 0) AS n
+    FROM levels LEFT JOIN counted USING (name, value)""",
+    name="var_levels",
+)
+def levels_of_panel(spark, sf):
+    """The ordered categories of all attributes under their published names, with the rows of the panel that have them."""
+    return var_levels(responder_values(studies(spark, sf)))
+
+
+@query(
+    f"""WITH {_LONG} SELECT fup, {_NAMES}, value, count(DISTINCT iid) AS n
+    FROM known WHERE value <> 'No' GROUP BY study, name, fup, value"""
+)
+def persons_by_sweep(spark, sf):
+    """Persons and not rows per age: who has two entries of a value at an age counts once."""
+    return published(count_values_by_sweep(responder_values(studies(spark, sf)), distinct=True), "fup")
+
+
+@query(
+    SQL["next_steps_social_class"].replace(position("w8dnssec5", _EIGHT), position("w8dnssec5", [1, 2, 3, 4, 5])),
+    name="next_steps_social_class_five",
+)
+def five_classes(spark, sf):
+    """The five-class variable of wave 8 by its own classes."""
+    return next_steps.social_class(survey_files(spark, sf, "next_steps"), five_class=True)

@@ -7,15 +7,15 @@ The inputs grow with the tables.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from panelweave.plans.common import Study
 from panelweave.plans.dictionaries import AGES
 from panelweave.sources.files import SurveyFiles, Variable
-from panelweave.sources.joined import joined_once
+from panelweave.sources.joined import joined_once, stacked_once
 from panelweave.workload.registry import table
 
 
@@ -321,28 +321,34 @@ def sources(study: str) -> dict[tuple[str, str], Source]:
     return found
 
 
-def _code(source: Source, first: str, second: str, name: str) -> Column:
+def _code(source: Source, first: str, second: str, name: str) -> str:
     codes = ", ".join(f"{c}D" for c in source.codes)
     pick = f"CAST(({first} * {source.factor} + {second}) % {len(source.codes)} AS INT)"
-    return F.expr(f"CASE WHEN ({first} + {source.number}) % 11 <> 0 THEN get(array({codes}), {pick}) END AS {name}")
+    return f"CASE WHEN ({first} + {source.number}) % 11 <> 0 THEN get(array({codes}), {pick}) END AS {name}"
 
 
 def _person_file(orders: DataFrame, study: str, path: str, file: int) -> DataFrame:
     """One row per person."""
     cells = [_code(s, "o_orderkey", "o_custkey", v) for (p, v), s in sources(study).items() if p == path]
     kept = orders.filter(rows_present(path, file, "o_orderkey"))
-    return kept.select(F.expr(f"concat('P', o_orderkey) AS {IDS[study]}"), *cells)
+    row = ["o_orderkey AS _row"] if study == "mcs" else []
+    return kept.selectExpr(f"concat('P', o_orderkey) AS {IDS[study]}", *cells, *row)
+
+
+def sweep_letter(path: str) -> str:
+    """The letter that starts the variables of a file, by the age in its folder's name."""
+    return chr(ord("A") + AGES["mcs"].index(int(path.split("y/")[0])))
 
 
 def _child_file(lines: DataFrame, path: str, file: int) -> DataFrame:
     """One row per line of an order: child of a family."""
-    letter = chr(ord("A") + AGES["mcs"].index(int(path.split("y/")[0])))
+    letter = sweep_letter(path)
     cells = [_code(s, "l_partkey", "l_suppkey", v) for (p, v), s in sources("mcs").items() if p == path]
-    return lines.filter(rows_present(path, file, "l_partkey")).selectExpr("*", "concat('P', l_orderkey) AS MCSID").select(
-        "MCSID",
-        F.expr(f"CAST(l_linenumber AS DOUBLE) AS {letter}CNUM00"),
+    return lines.filter(rows_present(path, file, "l_partkey")).selectExpr(
+        "concat('P', l_orderkey) AS MCSID",
+        f"CAST(l_linenumber AS DOUBLE) AS {letter}CNUM00",
         *cells,
-        F.expr("l_partkey * 1000000 + l_suppkey AS _row"),
+        "l_partkey * 1000000 + l_suppkey AS _row",
     )
 
 
@@ -354,7 +360,7 @@ def survey_files(spark: SparkSession, sf: str, study: str) -> SurveyFiles:
 
     def read(path: str) -> DataFrame:
         if path == family_file:
-            return orders.selectExpr("concat('P', o_orderkey) AS MCSID", "CAST(o_custkey % 4 AS DOUBLE) AS NOCMHH")
+            return orders.selectExpr("concat('P', o_orderkey) AS MCSID", "CAST(o_custkey % 4 AS DOUBLE) AS NOCMHH", "o_orderkey AS _row")
         file = paths.index(path)
         if study == "mcs" and not path.endswith(FAMILY_ROWS):
             return _child_file(lines, path, file)
@@ -362,6 +368,9 @@ def survey_files(spark: SparkSession, sf: str, study: str) -> SurveyFiles:
 
     columns = {path: [IDS[study], *INPUTS[study][path]] for path in paths}
     if study == "mcs":
+        for path in paths:
+            if not path.endswith(FAMILY_ROWS):
+                columns[path].insert(1, f"{sweep_letter(path)}CNUM00")
         columns[family_file] = ["MCSID", "NOCMHH"]
     variables = [Variable(*path.split("/"), v, path) for path, names in columns.items() for v in names]
     rows = [r[1:] for r in LABELS if r[0] == study] or [("", "", 0.0, "")]
@@ -370,17 +379,18 @@ def survey_files(spark: SparkSession, sf: str, study: str) -> SurveyFiles:
 
 
 def studies(spark: SparkSession, sf: str, names: tuple[str, ...] = tuple(AGES)) -> list[Study]:
-    """The harmonised studies."""
+    """The harmonised studies, their files read once; the studies do not depend on each other and are prepared together."""
     from panelweave.plans import bcs70, mcs, ncds, next_steps
 
     plans = {"mcs": mcs, "next_steps": next_steps, "bcs70": bcs70, "ncds": ncds}
-    found = []
-    for name in names:
+
+    def prepared(name: str) -> Study:
         plan, files = plans[name], survey_files(spark, sf, name)
-        if name != "mcs":  # one record per person and file
-            files = joined_once(spark, files, plan.ID, plan.harmonise)
-        found.append(plan.harmonise(files))
-    return found
+        once = stacked_once if name == "mcs" else joined_once  # elsewhere one record per person and file
+        return plan.harmonise(once(spark, files, plan.ID, [*plan.RULES, plan.sample, plan.response]))
+
+    with ThreadPoolExecutor(len(names)) as pool:
+        return list(pool.map(prepared, names))
 
 
 def source_sql(study: str, *wanted: str) -> str:

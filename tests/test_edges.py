@@ -95,7 +95,8 @@ def test_joined_once_equals_the_files(spark):
     def rule(f):
         return [f.load_joined(f.search(variable=v), "id") for v in ("^(A|C)$", "^B$", "^(B|D)$", "^C$")]
 
-    once = joined_once(spark, files, "id", rule)
+    rule.reads = 4
+    once = joined_once(spark, files, "id", [rule])
     assert once.single == {"w/one", "w/two"}
     for a, b in zip(rule(files), rule(once), strict=True):
         assert a.columns == b.columns

@@ -225,3 +225,51 @@ def test_null_keys_of_a_third_of_the_rows_are_written_by_many_tasks(spark):
         assert plan.count("SortMergeJoin") == 3 and "Exchange" not in plan and "ObjectHashAggregate" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("deal", [False, True])
+def test_copies_are_made_in_blocks(spark, deal, monkeypatch):
+    monkeypatch.setattr(reshape, "BLOCK", 7)
+    data = [("a", 0), ("b", 1), ("c", 7), ("d", 8), ("e", 400), ("f", None), ("g", -3)]
+    df = spark.createDataFrame(data, "`my id` string, n long").withColumn("__block", F.lit("kept"))
+    got = reshape.deal_copies(df, "n", "i", deal)
+    assert got.columns == ["my id", "__block", "i"]
+    assert rows(got.select("my id", "i")) == sorted([(k, i + 1) for k, n in data for i in range(n or 0)], key=str)
+    assert reshape.deal_copies(df, "n", deal=deal).columns == ["my id", "__block"]
+
+
+def test_ten_million_copies_of_a_row(spark):
+    """Dealt over the tasks: none makes more than a share of them, and no row holds a list of them."""
+    df = spark.createDataFrame([(1, [(5, 10_000_000), (6, 2)]), (2, [])], "id int, runs array<struct<value:int,times:long>>")
+    back = reshape.unchop_runs(df, "runs", "v")
+    found = back.groupBy("id", "v").count()
+    assert rows(found) == [(1, 5, 10_000_000), (1, 6, 2)]
+    shares = back.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in shares) < 10_000_000
+
+
+def test_sparse_ages_need_no_bounds(spark):
+    """Ages below zero, beyond a word, null, and keys far from each other; a key's own ages lie within the ring."""
+    data = [("a", -130), ("a", -5), ("a", 40), ("a", 40), ("b", 100_000), ("b", 100_061), ("c", None), ("a", None)]
+    long = spark.createDataFrame(data, "k string, fup int")
+    got = {r.k: r.ages for r in counts.observed_ages(long, ["k"]).collect()}
+    assert got == {"a": [-130, -5, 40], "b": [100_000, 100_061], "c": []}
+    assert "partial_bit_or" in counts.observed_ages(long, ["k"])._jdf.queryExecution().executedPlan().toString()
+    wide = spark.createDataFrame([("a", 0), ("a", 5_000)], "k string, fup int")
+    with pytest.raises(Exception, match="too far apart"):
+        counts.observed_ages(wide, ["k"]).collect()
+
+
+def test_windows_without_bounds_against_brute_force(spark):
+    long = spark.createDataFrame(LONG, "study string, iid string, name string, value string, fup int")
+    got = counts.ever_in_window(long).select("low", "high", "study", "name", "value", "n")
+    assert sorted(tuple(r) for r in got.collect()) == brute_windows(LONG)
+
+
+def test_surrogate_ids_of_many_ranges_and_clashing_names(spark):
+    df = spark.range(3000).select(F.when(F.col("id") > 0, F.col("id") * 7 % 3001).alias("key"), F.lit(1).alias("__place"), F.lit(2).alias("__part"))
+    numbered = windows.surrogate_id(df, "key", rows_per_part=2)
+    assert numbered.columns == ["key", "__place", "__part", "iid"]
+    got = [r.key for r in numbered.orderBy("iid").collect()]
+    assert got == [None, *sorted(k * 7 % 3001 for k in range(1, 3000))]
+    assert windows.surrogate_id(df.where("false"), "key").count() == 0

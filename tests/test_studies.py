@@ -1,14 +1,19 @@
 """Survey files from disk to the published counts, against the wide panel."""
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
+from panelweave.operators.combine import stack
+from panelweave.operators.levels import levels_of, with_levels
+from panelweave.operators.reshape import unpivot
 from panelweave.plans import counts, mcs, panel
 from panelweave.plans import dictionaries as d
 from panelweave.plans.common import Study
 from panelweave.sources import stata
 from panelweave.sources.catalog import catalog_variables, search_catalog, study_roots, value_labels, write_lookup_csv
 from panelweave.sources.files import SurveyFiles
+from panelweave.sources.joined import stacked_once
 from panelweave.sources.store import store
 
 
@@ -52,6 +57,78 @@ def test_counts_from_tables_equal_counts_from_the_wide_panel(spark):
     assert tables["sample"].count() == 2
 
 
+def test_panel_by_aggregation_equals_the_chain_of_joins(spark, monkeypatch):
+    """Ties, repeated entries, repeated responses, and persons without data."""
+    study = study_with_ties(spark)
+    study = Study(study.name, study.keys, study.sample, study.response.unionByName(study.response.where("pid = 'p' AND fup = 5")), study.clean)
+    monkeypatch.setattr(panel, "ATTRIBUTES", {n: n for n in ("sex", "religion", "rgsc", "nssec", "sen", "response")})
+    tables = panel.stack_studies([study])
+    wanted = panel.responder_panel(tables["wide"], tables["response"])
+    got = panel.responder_table([study])
+
+    def listed(df):
+        return sorted(str(tuple(r)) for r in df.select("study", "iid", "fup", "response", "sex", "religion", "rgsc", "nssec", "sen").collect())
+
+    assert listed(got) == listed(wanted)
+    assert got.where("iid = 'p' AND fup = 5 AND religion = 'Hindu'").count() == 8
+
+
+def test_a_person_with_very_many_equal_entries_arrives_as_one(spark):
+    study = study_with_ties(spark)
+    many = spark.range(3000).select(F.lit("q").alias("pid"), F.lit(5).alias("fup"), F.lit("Sikh").alias("religion"))
+    study = Study(study.name, study.keys, study.sample, study.response, {**study.clean, "religion": many})
+    got = panel.responder_table([study])
+    assert got.where("iid = 'q' AND religion = 'Sikh'").count() == 3000 and got.where("iid = 'p'").count() == 6
+
+
+def test_orders_of_categories_reach_the_published_tables(spark):
+    study = study_with_ties(spark)
+    clean = {t: with_levels(df, d.CATEGORIES) for t, df in study.clean.items()}
+    values = panel.responder_values([Study(study.name, study.keys, study.sample, study.response, clean)])
+    assert levels_of(values)["religion"] == d.RELIGION
+    rows = counts.published(counts.count_values_by_sweep(values), "fup", code=True).collect()
+    assert {(r.value, r.code) for r in rows if r.name_clean == "Religion"} == {("Hindu", 4)}
+    listed = counts.var_levels(values)
+    assert [r.value for r in listed.where("name_clean = 'Religion'").orderBy("code").collect()] == d.RELIGION
+    assert listed.where("name_clean = 'Sex' AND value = 'Male'").first().n > 0
+    long = unpivot(with_levels(spark.createDataFrame([(1, "No", "Male")], "id int, carer string, sex string"), d.CATEGORIES), ["id"])
+    assert levels_of(stack([long, long])) == {"carer": d.BINARY, "sex": d.SEX}
+    other = long.withColumn("value", F.col("value").alias("value", metadata={"levels": {"sex": ["x"]}}))
+    with pytest.raises(ValueError, match="two orders"):
+        stack([long, other])
+
+
+def test_persons_and_rows_per_sweep(spark):
+    values = panel.responder_values([study_with_ties(spark)])
+    rows = {(r.fup, r.name, r.value): r.n for r in counts.count_values_by_sweep(values).collect()}
+    persons = {(r.fup, r.name, r.value): r.n for r in counts.count_values_by_sweep(values, distinct=True).collect()}
+    assert set(rows) == set(persons) and rows[5, "religion", "Hindu"] == 4 and persons[5, "religion", "Hindu"] == 1
+
+
+def test_stacked_files_equal_the_files(spark):
+    frames = {
+        "3y/a": spark.createDataFrame([("f", 1.0, 5.0, 6.0, 1), ("f", 1.0, 7.0, None, 2), ("g", None, 8.0, 9.0, 3)], "MCSID string, BCNUM00 double, BX00 double, CY00_R20 double, _row long"),
+        "5y/b": spark.createDataFrame([("f", 3.0, 4), (None, 4.0, 5)], "MCSID string, CX00 double, _row long"),
+        "5y/c": spark.createDataFrame([("h", "t", 6)], "MCSID string, CZ00 string, _row long"),
+    }
+    files = SurveyFiles.from_frames(frames)
+
+    def rules(f):
+        found = f.search(var_low="(x|y)00")
+        return [
+            f.load_stacked(found, mcs.IDS, "mcsid", suffix="_r20$").select("mcsid", "sweep", "x00", "y00", "cnum00", "_row", "_file"),
+            f.load_stacked(f.search(var_low="x00"), mcs.IDS, "mcsid", per_variable=True).select("mcsid", "sweep", "x00", "cnum00", "_row", "_file"),
+            f.load("3y/a", mcs.IDS, ["BX00"], row=True),
+            f.load("5y/c", mcs.IDS),
+        ]
+
+    rules.reads = 4
+    once = stacked_once(spark, files, "mcsid", [rules])
+    for a, b in zip(rules(files), rules(once), strict=True):
+        assert sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect()))
+        assert "LogicalRDD" not in b._jdf.queryExecution().optimizedPlan().toString()  # nothing is read from the files again
+
+
 def test_published_names(spark):
     df = spark.createDataFrame([("bcs70", 5, "rgsc", "a", 1)], "study string, fup int, name string, value string, n long")
     row = counts.published(df, "fup").first()
