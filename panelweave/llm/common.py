@@ -73,6 +73,12 @@ def fold(id_col: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def without_rows(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The documents but those whose id and text hash are in gone (_id, text_hash); no column is added on the way."""
+    same = docs[f"`{id_col}`"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs[f"`{text_col}`"]) == gone["text_hash"])
+    return docs.join(gone, same, "left_anti")
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from panelweave.llm.common import NOT_WORD, lower_az, null_safe, small, words, written
+from panelweave.llm.common import NOT_WORD, lower_az, null_safe, small, without_rows, words, written
 
 KEY = ["_id", "_hash"]  # a document: its id and the hash of its text, as ids may be null or repeated
 
@@ -111,6 +111,5 @@ def contamination(
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents in which no item window occurs, all columns as they were."""
     wins = written(item_windows(items, window, "item_id", "text"), "windows")
-    hits = small(written(occurrences(docs, wins, window, shingle, id_col, text_col).select(*KEY).distinct(), "contaminated"))
-    keyed = docs.withColumn("__row_key", F.xxhash64(text_col))
-    return keyed.join(hits, keyed[id_col].eqNullSafe(hits["_id"]) & (keyed["__row_key"] == hits["_hash"]), "left_anti").drop("__row_key")
+    hits = occurrences(docs, wins, window, shingle, id_col, text_col).select("_id", F.col("_hash").alias("text_hash"))
+    return without_rows(docs, small(written(hits.distinct(), "contaminated")), id_col, text_col)

@@ -2,7 +2,10 @@
 
 Every training token is counted; nothing about the corpus is broadcast or collected but its totals and
 a bounded histogram. Documents are coded in shards; a shard asks for the counts of its distinct words
-and word pairs in packed blobs dealt over buckets of the hash space, and gets packed answers back.
+and word pairs in packed blobs dealt over buckets of the hash space, and gets packed answers back. Where
+there are more buckets than a shard should write to, blobs go there in hops: each hop cuts keys into a
+bounded number of ranges and merges a bounded number of askers of one range into one. So the number of
+blobs is in proportion to the number of shards, however many buckets there are.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from panelweave.llm.common import written
 
 SHARD_TOKENS = 1 << 20  # tokens coded together: bounds the memory of a task
 BUCKET_TOKENS = 1 << 22  # corpus tokens for each bucket of the hash space: bounds the memory of a count
+FAN = 256  # ranges that a hop cuts keys into at most, and askers that it merges on average
 SEED = 17
 START = np.uint64(0x9E3779B97F4A7C15)  # stands for the place before the first word
 FINE = 8  # bins for a factor of ten in the histogram that the weights are fitted on
@@ -147,10 +151,69 @@ def questions(shards: DataFrame, bits: int) -> DataFrame:
                     for b in np.flatnonzero(np.diff(edges)):
                         part = slice(edges[b], edges[b + 1])
                         out.append((int(b), kind, row["shard"], packed(np.diff(keys[part], prepend=np.uint64(0))), packed(counts[part])))
-                kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["bucket", "kind", "shard", "keys", "counts"])
 
-    return shards.select("shard", "train", "lengths", "vocab", "tokens").mapInArrow(run, "bucket int, kind int, shard long, keys binary, counts binary")
+    return shards.select("shard", "train", "lengths", "vocab", "tokens").mapInArrow(run, PARTS)
+
+
+def hops(bits: int) -> list[int]:
+    """The bits of each hop: as few hops as FAN allows, as even as they can be."""
+    n = max(1, -(-bits // (FAN.bit_length() - 1)))
+    return [bits // n + (k < bits % n) for k in range(n)]
+
+
+PARTS = "bucket long, kind int, shard long, keys binary, counts binary"
+ANSWERS = "kind int, bucket long, shard long, counts binary, known long"
+
+
+def absolute(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(blob).astype(np.uint64), dtype=np.uint64)
+
+
+def counted(parts: DataFrame, askers: int, further: list[int], used: int) -> DataFrame:
+    """Answers to parts (bucket, kind, shard, keys, counts) whose bucket is the first `used` bits of their keys.
+
+    With further hops to go, the parts of a bucket are merged, some FAN askers at a time, and cut by the
+    next bits; the merged ones ask in the same way, and what they learn is dealt back to those they merged.
+    """
+    if not further:
+        return answers(parts)
+    bits, groups = further[0], max(1, -(-askers // FAN))
+    parts = written(parts, "questions")
+    grouped = parts.withColumn("group", F.pmod(F.xxhash64("shard"), F.lit(groups)))
+    key = ["bucket", "kind", "group"]
+
+    def merge(table: pa.Table) -> pa.Table:
+        keys = [absolute(b) for b in table.column("keys").to_pylist()]
+        counts = np.concatenate([unpacked(b).astype(np.int64) for b in table.column("counts").to_pylist()])
+        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(place, counts, len(distinct)).astype(np.int64)
+        bucket, kind, group = (table.column(c)[0].as_py() for c in key)
+        edges = bucket_edges(distinct << np.uint64(used), bits)
+        out = []
+        for r in np.flatnonzero(np.diff(edges)):
+            part = slice(edges[r], edges[r + 1])
+            out.append(((bucket << bits) + int(r), kind, group, packed(np.diff(distinct[part], prepend=np.uint64(0))), packed(total[part])))
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["bucket", "kind", "shard", "keys", "counts"])
+
+    asked = grouped.groupBy(*key).applyInArrow(merge, PARTS)
+    found = counted(asked, groups, further[1:], used + bits)
+
+    def deal(left: pa.Table, right: pa.Table) -> pa.Table:
+        keys = [absolute(b) for b in left.column("keys").to_pylist()]
+        distinct = np.unique(np.concatenate(keys))
+        learned = sorted(zip(right.column("low").to_pylist(), right.column("counts").to_pylist(), strict=True))
+        total = np.concatenate([unpacked(b).astype(np.int64) for _, b in learned])
+        n, bucket, kind = len(keys), left.column("bucket")[0].as_py(), left.column("kind")[0].as_py()
+        blobs = [packed(total[np.searchsorted(distinct, k)]) for k in keys]
+        columns = [pa.array([kind] * n, pa.int32()), pa.array([bucket] * n, pa.int64()), left.column("shard"), pa.array(blobs, pa.binary()), pa.nulls(n, pa.int64())]
+        return pa.table(columns, names=["kind", "bucket", "shard", "counts", "known"])
+
+    learned = found.where("shard >= 0").select(F.shiftright("bucket", bits).alias("bucket"), "kind", F.col("shard").alias("group"), F.col("bucket").alias("low"), "counts")
+    dealt = grouped.select(*key, "shard", "keys").groupBy(*key).cogroup(learned.groupBy(*key)).applyInArrow(deal, ANSWERS)
+    return written(dealt.unionAll(found.where("shard < 0")), "answers")
 
 
 def answers(asked: DataFrame) -> DataFrame:
@@ -161,7 +224,7 @@ def answers(asked: DataFrame) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         shards = table.column("shard").to_pylist()
-        keys = [np.cumsum(unpacked(b).astype(np.uint64), dtype=np.uint64) for b in table.column("keys").to_pylist()]
+        keys = [absolute(b) for b in table.column("keys").to_pylist()]
         counts = np.concatenate([unpacked(b).astype(np.int64) for b in table.column("counts").to_pylist()])
         ends = np.cumsum([0, *map(len, keys)])
         distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
@@ -173,14 +236,14 @@ def answers(asked: DataFrame) -> DataFrame:
         return pa.table(
             {
                 "kind": pa.array([kind] * n, pa.int32()),
-                "bucket": pa.array([bucket] * n, pa.int32()),
+                "bucket": pa.array([bucket] * n, pa.int64()),
                 "shard": pa.array([*shards, -1], pa.int64()),
                 "counts": pa.array([*blobs, None], pa.binary()),
                 "known": pa.array([None] * (n - 1) + [int((total > 0).sum())], pa.int64()),
             }
         )
 
-    return written(asked.groupBy("bucket", "kind").applyInArrow(run, "kind int, bucket int, shard long, counts binary, known long"), "answers")
+    return written(asked.groupBy("bucket", "kind").applyInArrow(run, ANSWERS), "answers")
 
 
 # --- the model --------------------------------------------------------------------------------------
@@ -285,7 +348,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     total = shards.agg(F.sum("n").alias("n"), F.sum("n_train").alias("n_train")).first()
     n_all, n_train = int(total["n"] or 0), int(total["n_train"] or 0)
     bits = max(n_all // BUCKET_TOKENS, 1).bit_length() + 2
-    found = answers(questions(shards, bits))
+    first, *further = hops(bits)
+    found = counted(questions(shards, first), shards.count(), further, first)
     n_distinct = int(found.where("shard < 0 AND kind = 0").agg(F.sum("known")).first()[0] or 0)
     train_docs = train_documents(shards)
     rows = resolved(shards, found, n_train, train_docs)

@@ -138,7 +138,7 @@ def _matches_sql(kind: str, rank: int) -> str:
     valid = {
         "assign": "length(v[k]) >= 12",
         "short": "length(v[k]) BETWEEN 6 AND 11",
-        "blob": "length(m[k]) <= 90 AND regexp_matches(m[k], '[A-Z]') AND regexp_matches(m[k], '[a-z]') AND regexp_matches(m[k], '[0-9]')",
+        "blob": "regexp_matches(m[k], '[A-Z]') AND regexp_matches(m[k], '[a-z]') AND regexp_matches(m[k], '[0-9]')",
     }.get(kind, "TRUE")
     return f"""SELECT r, '{kind}' AS kind, {rank} AS rank, '{secrets.PART[kind]}' AS part, e - length(m[k]) AS s, e FROM (
       SELECT *, list_sum(list_transform(g[1:k], lambda x: length(x))) + list_sum(list_transform(m[1:k], lambda x: length(x))) AS e FROM (
@@ -166,8 +166,8 @@ FROM t LEFT JOIN g USING (r)
 
 @query(OP7_SQL)
 def op7_secrets(spark, sf_dir):
-    """Every document's secret spans; blobs of at most 90 characters, as the SQL has it."""
-    found = secrets.secret_spans(table(spark, sf_dir, "documents"), reach=240, longest=90)
+    """Every document's secret spans."""
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"), reach=240)
     strong = F.filter("spans", lambda x: x["rank"] < len(secrets.STRONG))
 
     def count(rank: int):

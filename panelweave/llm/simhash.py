@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.llm.common import components, small, written
+from panelweave.functions.names import fresh
+from panelweave.llm.common import components, small, without_rows, written
 
 BITS = 64
 SEED = 42
@@ -271,10 +272,11 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         shared = found.where("component_id = _out").join(repeated, "_out", "left_semi")
         first = shared.groupBy("_out", "component").agg(F.min("text_hash").alias("first"))
         gone = gone.unionAll(shared.join(first, ["_out", "component"]).where("text_hash <> first").select(key))
-    out = small(written(gone.distinct(), "duplicates"))
-    keyed = docs.withColumn("__row_key", F.xxhash64(text_col))
-    kept = keyed.join(out, (keyed[id_col] == out["_out"]) & (keyed["__row_key"] == out["text_hash"]), "left_anti")
+    out = small(written(gone.select(F.col("_out").alias("_id"), "text_hash").distinct(), "duplicates"))
+    kept = without_rows(docs, out, id_col, text_col)
     if several:
-        once = kept.join(repeated, kept[id_col] == repeated["_out"], "left_semi").dropDuplicates([id_col, "__row_key"])
-        kept = kept.join(repeated, kept[id_col] == repeated["_out"], "left_anti").unionByName(once)
-    return kept.drop("__row_key")
+        own = kept[f"`{id_col}`"] == repeated["_out"]
+        text_hash = fresh("_hash", docs.columns)
+        once = kept.join(repeated, own, "left_semi").withColumn(text_hash, F.xxhash64(f"`{text_col}`")).dropDuplicates([id_col, text_hash])
+        kept = kept.join(repeated, own, "left_anti").unionByName(once.drop(text_hash))
+    return kept

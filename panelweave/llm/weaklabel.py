@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.llm.common import small, written
+from panelweave.llm.common import small, without_rows, written
 
 WIDTH = 1 << 12  # hashed features
 CACHE_WORDS = 300_000
@@ -193,5 +193,4 @@ def without_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The documents that the classifier keeps, all columns as they were."""
     found = quality_scores(docs, id_col, text_col, fit_rows, threshold).where("NOT kept").select(F.col(id_col).alias("_id"), "text_hash").distinct()
     rejected = small(written(found, "rejected"))
-    keyed = docs.withColumn("__row_key", F.xxhash64(text_col))
-    return keyed.join(rejected, keyed[id_col].eqNullSafe(rejected["_id"]) & (keyed["__row_key"] == rejected["text_hash"]), "left_anti").drop("__row_key")
+    return without_rows(docs, rejected, id_col, text_col)

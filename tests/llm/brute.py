@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -74,3 +76,82 @@ def licenses(text):
         if here:
             labels.add(label)
     return len(w), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels))
+
+
+def linked_secrets(text, patterns, part, reach):
+    """All spans: strong ones, and weak ones with their complement within reach, every pair of spans tried."""
+    kinds = list(patterns)
+    found = []
+    for rank, kind in enumerate(kinds):
+        for m in re.finditer(patterns[kind], text, re.ASCII):
+            if kind == "assign" and len(m[2]) < 12 or kind == "short" and not 6 <= len(m[2]) <= 11:
+                continue
+            if kind == "blob" and not all(re.search(c, m[0]) for c in ("[A-Z]", "[a-z]", "[0-9]")):
+                continue
+            found.append((m.start(), m.end(), rank, kind))
+    found.sort()
+
+    def beside(i, wanted):
+        start, end = found[i][:2]
+        before = any(part[x[3]] == wanted and start - x[1] <= reach for x in found[:i])
+        return before or any(part[x[3]] == wanted and x[0] - end <= reach for x in found[i + 1 :])
+
+    needs = {"id": ["secret"], "secret": ["id"], "endpoint": ["id", "secret"]}
+    kept = [x for i, x in enumerate(found) if x[2] < 3 or all(beside(i, w) for w in needs[part[x[3]]])]
+    return [(k, s, e) for s, _, e, k in sorted((s, rank, e, k) for s, e, rank, k in kept)]
+
+
+def cut_out(text, spans, mark):
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def lm_scores(docs, folds, held_out, fine, floor):
+    """(id, tokens, known tokens, score): words, pairs and a uniform share, mixed by buckets of the context's count."""
+    texts = [(d, [w.decode() for w in (t or "").encode().lower().split()] + [""]) for d, t in docs]
+    learn = [zlib.crc32(("" if d is None else str(d)).encode()) % folds != held_out for d, _ in texts]
+    word, pair = Counter(), Counter()
+    for (_, w), own in zip(texts, learn, strict=True):
+        if own:
+            word.update(w)
+            pair.update(zip([None, *w], w, strict=False))
+    word[None] = sum(learn)
+    n, v = sum(k for w, k in word.items() if w is not None), sum(k > 0 for w, k in word.items() if w is not None)
+
+    def bucket(c):
+        return c.bit_length() if c > 0 else 0
+
+    def coarse(p):
+        """The estimate on the histogram's grid."""
+        return 10.0 ** -(min(round(-math.log10(p) * fine), floor - 1) / fine) if p > 0 else 0.0
+
+    cells = defaultdict(Counter)
+    for (_, w), own in zip(texts, learn, strict=True):
+        for h, x in zip([None, *w], w, strict=False) if own else []:
+            c = word[h] - 1
+            cells[bucket(c)][coarse((pair[h, x] - 1) / max(c, 1)), coarse((word[x] - 1) / max(n - 1, 1))] += 1
+    weights, last = {}, None
+    for b in range(65):
+        if cells.get(b):
+            m = [0.0, 0.5, 0.5] if b == 0 else [1 / 3] * 3
+            for _ in range(100):
+                sums = [0.0] * 3
+                for (p2, p1), k in cells[b].items():
+                    share = [a * q for a, q in zip(m, (p2, p1, 1 / (v + 1)), strict=True)]
+                    sums = [a + k * s / sum(share) for a, s in zip(sums, share, strict=True)]
+                m = [s / sum(cells[b].values()) for s in sums]
+            m = [max(x, low) for x, low in zip(m, (0.0 if b == 0 else 1e-9, 1e-9, 1e-6), strict=True)]
+            last = [x / sum(m) for x in m]
+        weights[b] = last or [0.0, 0.9, 0.1]
+    out = []
+    for d, w in texts:
+        score = 0.0
+        for h, x in zip([None, *w], w, strict=False):
+            a, b, c = weights[bucket(word[h])]
+            score += math.log10(a * pair[h, x] / max(word[h], 1) + b * word[x] / max(n, 1) + c / (v + 1))
+        out.append((d, len(w), sum(word[x] > 0 for x in w), score))
+    return out
