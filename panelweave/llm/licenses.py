@@ -8,6 +8,8 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from panelweave.llm.signatures import signatures
+
 # Base phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
@@ -94,12 +96,11 @@ NAMES += [
     ("bsd", "bsd", r"\bbsd[\s-]+(?:style\s+)?licen[cs]e", r"freebsd\.org/copyright"),
     ("mpl", "mozilla", r"mozilla\s+public\s+licen[cs]e", r"mozilla\.org/mpl/?(?!\d)"),
     ("cc", "creative", r"creative\s+commons\s+licen[cs]e", r"creativecommons\.org/licenses/?(?![a-z])"),
-    ("proprietary", "reserved", r"all\s+rights\s+reserved", r"no-such-address\.invalid"),
 ]
 
 GRANT = r"(?:licen[cs]ed|released|distributed|published|available|provided|dual[\s-]licen[cs]ed)\s+under\s+(?:the\s+|an?\s+)?(?:terms\s+(?:and\s+conditions\s+)?of\s+(?:the\s+|an?\s+)?)?"
 # Forms of a rule in order of priority: (weight of a detection, what its pattern is made of).
-FORMS = {"tag": 1.0, "grant": 0.9, "address": 0.8, "name": 0.6}
+FORMS = {"tag": 1.0, "grant": 0.9, "text": 0.85, "address": 0.8, "name": 0.6}
 GENERAL = {"gpl", "lgpl", "apache", "bsd", "mpl", "cc"}
 
 
@@ -117,12 +118,15 @@ def hosts(address: str) -> frozenset[str]:
 
 
 def rules() -> list[Rule]:
-    """The signatures in order: tags, grants, addresses, names; exact versions before families.
+    """The signatures in order: tags, grants, words of license texts, addresses, names; exact versions before families.
 
     Every match of a rule holds a word of each set it needs. No such word has white space, which may be of any kind.
     """
     out = []
     for level, form in enumerate(FORMS):
+        if form == "text":
+            out += [Rule(label, form, 2 * level + (label in GENERAL), (words,), re.compile(pattern)) for label, words, pattern in signatures()]
+            continue
         for label, words, name, address in NAMES:
             general, named = label in GENERAL, frozenset(words.split())
             if form == "tag":

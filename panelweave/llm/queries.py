@@ -86,7 +86,8 @@ m AS (SELECT (sum(failed) + 0.5) / (sum(n) + 1) AS mean, sum(failed) / sum(n) AS
 v AS (SELECT mean, square / n - p * p - mean * (1 - mean) * k / n AS spread FROM m),
 s AS (SELECT mean, CASE WHEN spread > 0 THEN least(greatest(mean * (1 - mean) / spread - 1, 2.0), 1e6) ELSE 1e6 END AS strength FROM v)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND (h.failed + mean * strength) / (h.n + strength) <= 0.5 AS kept
+  NOT base_failed AND (h.failed + mean * strength) / (h.n + strength) <= 0.5 AS kept,
+  CAST(round((h.failed + mean * strength) / (h.n + strength) * 1e6) AS BIGINT) AS host_rate_ppm
 FROM g JOIN h ON g.source IS NOT DISTINCT FROM h.source, s
 """
 
@@ -116,7 +117,7 @@ def op3_simhash(spark, sf_dir):
 def op4_host_rules(spark, sf_dir):
     """Every document's counts and verdict, with sources as hosts."""
     found = hostrules.host_quality(table(spark, sf_dir, "documents"), host_col="source")
-    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round(F.col("host_rate") * 1e6).cast("long").alias("host_rate_ppm"))
 
 
 @query()

@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelweave.llm.common import new_path, written
@@ -290,6 +290,17 @@ def mark_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     return joined.select("page_id", "url", "payload", first.alias("first"))
 
 
+def dealt(manifest: DataFrame, task_bytes: int = 64 << 20) -> DataFrame:
+    """The manifest in partitions of about task_bytes of archives each, however few rows it has.
+
+    Archives are numbered by the bytes before them, one row for each, and a partition takes those that start in its share.
+    """
+    total = manifest.agg(F.sum("bytes")).first()[0] or 0
+    before = F.sum("bytes").over(Window.orderBy("archive").rowsBetween(Window.unboundedPreceding, -1))
+    shares = manifest.withColumn("share", F.floor(F.coalesce(before, F.lit(0)) / task_bytes).cast("int"))
+    return shares.repartitionById(total // task_bytes + 1, "share").drop("share")
+
+
 def page_number(record_id: Column) -> Column:
     return F.regexp_extract(record_id, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
 
@@ -300,7 +311,7 @@ def archive_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
     A null html is an empty payload and an empty table gives no archive and no rows.
     """
     folder = new_path(spark, "warc")
-    read = read_archives(write_archives(mark_revisits(pages), folder), with_payload=False)
+    read = read_archives(dealt(write_archives(mark_revisits(pages), folder)), with_payload=False)
     return read.select(
         page_number(F.col("record_id")).alias("page_id"),
         "payload_bytes",

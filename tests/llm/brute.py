@@ -155,3 +155,23 @@ def lm_scores(docs, folds, held_out, fine, floor):
             score += math.log10(a * pair[h, x] / max(word[h], 1) + b * word[x] / max(n, 1) + c / (v + 1))
         out.append((d, len(w), sum(word[x] > 0 for x in w), score))
     return out
+
+
+def weak_labels(votes, bad, good):
+    """(share of good, accuracies, posterior of every row): expectation-maximisation, row by row."""
+    k = len(votes[0])
+    sign = [[1 if v == good else -1 if v == bad else 0 for v in row] for row in votes]
+    p = [1 / (1 + math.exp(-2 * sum(row))) for row in sign]
+    for _ in range(200):
+        prior = min(max((sum(p) + 1) / (len(p) + 2), 0.5), 0.95)
+        accuracy = []
+        for j in range(k):
+            right = sum(q if row[j] > 0 else 1 - q for row, q in zip(sign, p, strict=True) if row[j])
+            accuracy.append(min(max((right + 8) / (sum(row[j] != 0 for row in sign) + 10), 0.6), 0.995))
+        log = [math.log(a / (1 - a)) for a in accuracy]
+        new = [1 / (1 + math.exp(-(math.log(prior / (1 - prior)) + sum(s * x for s, x in zip(row, log, strict=True))))) for row in sign]
+        done = max(abs(a - c) for a, c in zip(new, p, strict=True)) < 1e-9
+        if done:
+            break
+        p = new
+    return prior, accuracy, p

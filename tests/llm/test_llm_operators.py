@@ -150,6 +150,25 @@ def test_simhash_buckets_stay_bounded(spark):
     assert len(seen) == 1024
 
 
+def test_unequal_thresholds_lose_no_link(spark, monkeypatch):
+    """The allocation of many fingerprints: two parts without and one with a differing bit."""
+    parts = [(list(range(0, 64, 3))[:21], 0), (list(range(1, 64, 3)), 0)]
+    used = {b for p, _ in parts for b in p}
+    parts.append(([b for b in range(64) if b not in used], 1))
+    assert sum(t + 1 for _, t in parts) == 4 and sum(len(p) for p, _ in parts) == 64
+    monkeypatch.setattr(simhash, "choose_parts", lambda *_: parts)
+    assert len(simhash.probe_masks(parts)) == 2 + len(parts[2][0])
+    test_simhash_links_random_neighbours(spark)
+
+
+def test_many_fingerprints_get_unequal_thresholds():
+    """Where candidate pairs cost more than probes, the allocation leaves equal thresholds."""
+    matrix = np.full((64, 64), 250.0)
+    np.fill_diagonal(matrix, 500.0)
+    chosen = {n: [t for _, t in simhash.choose_parts(n, matrix * n / 1000, 3)] for n in (10_000, 10**7)}
+    assert chosen == {10_000: [0, 0, 0, 0], 10**7: [0, 0, 1]}
+
+
 def test_thresholds_sum_to_the_pigeonhole_bound():
     matrix = np.full((64, 64), 250.0)
     np.fill_diagonal(matrix, 500.0)
@@ -423,6 +442,40 @@ def test_license_gate_equals_ungated_scan():
         assert label in licenses.scan(text, scanner)[5], text
 
 
+def test_suppression_equals_plain_version():
+    """Detections that lie within another of higher priority, or of the same and before it, go: every pair tried."""
+    import random
+
+    rnd, rules = random.Random(7), licenses.rules()
+    for _ in range(300):
+        found = [(s, s + rnd.randint(1, 12), rnd.choice(rules)) for s in (rnd.randint(0, 20) for _ in range(rnd.randint(0, 12)))]
+        ordered = sorted(found, key=lambda x: (x[0], -x[1], x[2].priority, x[2].label))
+        inside = lambda a, b: b[0] <= a[0] and a[1] <= b[1] and b[2].priority <= a[2].priority
+        kept = [a for i, a in enumerate(ordered) if not any(inside(a, b) for b in ordered[:i])]
+        assert licenses.suppress(found) == kept
+
+
+def test_license_texts():
+    scanner = licenses.Scanner()
+    texts = {
+        "bsd-3-clause": "Neither the name of the Example Project nor the names of its contributors may be used to endorse or promote products",
+        "apache-2.0": "you may not use this file except\nin compliance with the License.",
+        "zlib": "The origin of this software must not be misrepresented; you must not claim",
+        "postgresql": "for any purpose, without fee, and without a written agreement is hereby granted",
+        "mit": "THE SOFTWARE IS PROVIDED \u201cAS IS\u201d, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY",
+        "proprietary": "Copyright 2020. All rights reserved.",
+        "eula": "The software is licensed, not sold.",
+    }
+    for label, text in texts.items():
+        assert label in licenses.scan(text, scanner)[5], label
+    written = [r for r in rules_of("text")]
+    assert len(written) >= 110 and not [r for r in licenses.rules() if "invalid" in r.pattern.pattern]
+
+
+def rules_of(form):
+    return [r for r in licenses.rules() if r.form == form]
+
+
 def test_license_versions_without_the_word():
     scanner = licenses.Scanner()
     spoken = {
@@ -517,6 +570,41 @@ def test_em_finds_a_labeller_that_guesses():
     assert abs(prior - 0.7) < 0.05 and np.abs(found - accuracy).max() < 0.05
 
 
+def test_em_equals_plain_em_on_rows():
+    """Posteriors from counts of vote patterns against expectation-maximisation over the rows themselves."""
+    rng = np.random.default_rng(2)
+    k = len(weaklabel.LABELLERS)
+    vote = rng.choice([weaklabel.ABSTAIN, weaklabel.BAD, weaklabel.GOOD], (800, k), p=[0.6, 0.15, 0.25])
+    codes, n = np.unique((vote * 3 ** np.arange(k - 1, -1, -1)).sum(1), return_counts=True)
+    prior, accuracy, good = weaklabel.fit_labellers(codes, n.astype(float))
+    posterior = dict(zip(codes.tolist(), good.tolist(), strict=True))
+    plain_prior, plain_accuracy, plain = brute.weak_labels(vote.tolist(), weaklabel.BAD, weaklabel.GOOD)
+    assert abs(prior - plain_prior) < 1e-6 and np.abs(accuracy - plain_accuracy).max() < 1e-6
+    own = [posterior[int(c)] for c in (vote * 3 ** np.arange(k - 1, -1, -1)).sum(1)]
+    assert np.abs(np.array(own) - plain).max() < 1e-6
+
+
+def test_kneser_ney_sums_to_one():
+    """Every shared distribution, and both class distributions after every context, over all letters and one never seen."""
+    words = ["abba", "abacus", "baba", "cab", "scab", "é", "abbey"]
+    grams = Counter()
+    for k, w in enumerate(words):
+        padded = toxicity.PAD * (toxicity.ORDER - 1) + w + toxicity.END
+        for i in range(len(w) + 1):
+            grams[padded[i : i + toxicity.ORDER], k % 2] += 1 + k
+    model = toxicity.KneserNey([(g, grams[g, 1], grams[g, 0]) for g in {g for g, _ in grams}])
+    letters = [*{c for w in words for c in w}, toxicity.END, "never seen"]
+    alphabet = [c if len(c) == 1 else "\x04" for c in letters]
+    assert model.letters == len(alphabet)
+    for context, (toxic, ordinary, toxic_types, ordinary_types) in model.context.items():
+        shared = [model.backoff(context + c) for c in alphabet]
+        assert abs(sum(shared) - 1) < 1e-9
+        for cls, total, types in ((0, toxic, toxic_types), (1, ordinary, ordinary_types)):
+            if total:
+                own = [(max(model.seen.get(context + c, (0, 0))[cls] - toxicity.DISCOUNT, 0) + toxicity.DISCOUNT * types * p) / total for c, p in zip(alphabet, shared, strict=True)]
+                assert abs(sum(own) - 1) < 1e-9
+
+
 def test_kneser_ney_is_a_distribution():
     grams = Counter()
     for word in ("abba", "abab", "bab", "cab"):
