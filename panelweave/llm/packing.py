@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -26,11 +27,25 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+# The rules of a tokenizer file that the shortcut below relies on; fixed values.
+BY_WORDS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "ignore_merges": False}
+
+
 class WordEncoder(dict):
     """Ids of whole texts by a word-level tokenizer file, word by word; the dict holds words met before.
 
     The tokenizer of `word_bpe_49k.json` folds case, drops white space and never merges across it, so a
-    text's ids are its words' ids in order. That shortcut is taken for texts of Latin-1 characters
+    text's ids are its words' ids in order. That shortcut is taken with files of just these rules, for texts of Latin-1 characters
     (where normalisation is lower-casing alone) without special tokens or odd spaces; every other
     text goes through the tokenizer whole.
     """
@@ -43,6 +58,9 @@ class WordEncoder(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        self.by_words = {k: rules[k] for k in BY_WORDS} == BY_WORDS and all(rules["model"].get(k) == v for k, v in MODEL.items())
         self.merge = self.tokenizer.model.tokenize
         self.letters = byte_letters()
         self.marks = dict(zip(PUNCTUATION, map(self.whole, PUNCTUATION), strict=True))
@@ -62,7 +80,7 @@ class WordEncoder(dict):
         return ids
 
     def plain(self, text: str) -> bool:
-        if "<|" in text or any(c in text for c in ODD_SPACE):
+        if not self.by_words or "<|" in text or any(c in text for c in ODD_SPACE):
             return False
         if text.isascii():
             return True
@@ -88,7 +106,7 @@ def pieces(docs: DataFrame, path: str, sequence_length: int = 2048, id_col: str
     `place` numbers the pieces of one length within it; both are stored, so they stay as they are.
     A null or empty text is the end id alone. With with_ids, the ids themselves as `ids`.
     """
-    schema = f"{id_col} {dict(docs.dtypes)[id_col]}, piece int, start long, length int, ids_crc32 long, chunk int, place long" + ", ids binary" * with_ids
+    schema = f"`{id_col}` {dict(docs.dtypes)[id_col]}, piece int, start long, length int, ids_crc32 long, chunk int, place long" + ", ids binary" * with_ids
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
@@ -110,7 +128,7 @@ def pieces(docs: DataFrame, path: str, sequence_length: int = 2048, id_col: str
                 names = ["piece", "start", "length", "ids_crc32", "chunk", "place", "ids"][: len(columns)]
                 yield pa.RecordBatch.from_arrays([part.column(id_col).take(pa.array(owner)), *columns], [id_col, *names])
 
-    return written(docs.select(id_col, text_col).mapInArrow(cut, schema), "pieces")
+    return written(docs.select(f"`{id_col}`", f"`{text_col}`").mapInArrow(cut, schema), "pieces")
 
 
 # --- the plan: on the histogram of lengths, so its cost is bounded by the sequence length ---------

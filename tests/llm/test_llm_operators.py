@@ -527,6 +527,21 @@ def test_packing_is_exact_and_gapless(docs, empty):
     assert packing.pack_documents(empty, tokenizer_path()).count() == 0
 
 
+def test_any_tokenizer_file_gives_its_own_ids(spark):
+    """The shortcut by words holds for files of its rules; every other file encodes whole texts."""
+    from tokenizers import Tokenizer
+
+    texts = ["Hello World, don't stop 12.5", "  two  blanks\n", "UPPER lower", ""]
+    for name, by_words in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        encoder, tokenizer = packing.WordEncoder(tokenizer_path(name)), Tokenizer.from_file(tokenizer_path(name))
+        assert encoder.by_words == by_words
+        for text in texts:
+            assert encoder.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    df = spark.createDataFrame([(1, "some words")], "`my id` long, `the text` string")
+    (row,) = packing.pack_documents(df, tokenizer_path(), 64, id_col="my id", text_col="the text").collect()
+    assert row["my id"] == 1 and row.length == 3
+
+
 def test_plans_use_every_piece_once():
     rng = np.random.default_rng(0)
     for total, size in ((32, 500), (128, 5000), (2048, 3000)):
