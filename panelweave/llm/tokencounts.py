@@ -12,13 +12,15 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CACHE_STRETCHES = 400_000  # stretches whose tables a task keeps; a cache only, the counts don't depend on it
+CACHE_STRETCHES = 600_000  # stretches whose tables a task keeps; a cache only, the counts don't depend on it
 CACHE_LENGTH = 64  # longer stretches are not kept
 
 # The classes of the splitting rule for the first 256 characters; fixed values.
@@ -27,6 +29,7 @@ LETTER = r"A-Za-z\xAA\xB5\xBA\xC0-\xD6\xD8-\xF6\xF8-\xFF"
 DIGIT = r"0-9\xB2\xB3\xB9\xBC-\xBE"
 OTHER = rf"[^{SPACE}{LETTER}{DIGIT}]"
 ENDING = "'(?:s|t|re|ve|m|ll|d)"
+TWO_LETTER_ENDINGS = {"'re", "'ve", "'ll"}
 # White space and what follows it. A word takes one blank before it, so an ending stands only where none does.
 STRETCH = re.compile(
     rf"[{SPACE}]*\x20(?:[{LETTER}]+|[{DIGIT}]+|{OTHER}+)|[{SPACE}]*(?:{ENDING}|[{LETTER}]+|[{DIGIT}]+|{OTHER}+)|[{SPACE}]+"
@@ -56,6 +59,7 @@ class PrefixCounter(dict):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import ahocorasick
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -69,9 +73,13 @@ class PrefixCounter(dict):
         if rules["normalizer"] or model["type"] != "BPE" or not (all(plain) and same and bare):
             raise ValueError(f"{path} is no plain byte-level tokenizer: its prefixes cannot be counted this way")
         self.vocabulary: dict[str, int] = model["vocab"]
-        self.endings = {token[k:] for token in self.vocabulary for k in range(len(token))}
+        self.machine = ahocorasick.Automaton()
+        for token in self.vocabulary:
+            self.machine.add_word(token, token)
+        self.machine.make_automaton()
+        self.runs: dict[str, list[int]] = {}
         self.merge = self.tokenizer.model.tokenize
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[tuple[str, str], bool] = {}  # whether a token stays as it is after another
         self.letters = byte_letters()
         self.classes: dict[int, str] = {}
         contents = [t["content"] for t in added]
@@ -79,61 +87,63 @@ class PrefixCounter(dict):
 
     # --- the table of one piece ---
 
-    def fits(self, token: str, after: str | None) -> bool:
-        """Whether `token` stays as it is after the token `after`, or at the start of a piece."""
-        key = (after or "", token)
-        known = self.pairs.get(key)
-        if known is None:
-            parts = [t.value for t in self.merge(key[0] + token)]
-            known = self.pairs[key] = parts == [t for t in key if t]
-        return known
-
     def piece(self, text: str) -> list[int]:
-        """Tokens of every prefix of a piece that the splitting rule leaves whole, from its first character on."""
-        if len(self.pairs) > 4 * CACHE_STRETCHES:
-            self.pairs.clear()
+        """Tokens of every prefix of a piece that the splitting rule leaves whole, from its first character on.
+
+        One pass of an automaton names the tokens that end at each place; the one that stays as it is after
+        the last token of what stands before it is the last token there.
+        """
+        pairs, merge = self.pairs, self.merge
+        if len(pairs) > CACHE_STRETCHES:
+            pairs.clear()
         raw = text.encode()
         letters = "".join(map(self.letters.__getitem__, raw))
-        last: list[str | None] = [None]
-        count = [0]
-        for end in range(1, len(letters) + 1):
-            found, start = [], end
-            while start and letters[start - 1 : end] in self.endings:
-                start -= 1
-                if letters[start:end] in self.vocabulary:
-                    found.append(start)
-            for start in reversed(found):
-                token = letters[start:end]
-                if self.fits(token, last[start]):
-                    last.append(token)
-                    count.append(count[start] + 1)
-                    break
-            else:
-                raise ValueError(f"no last token for {text!r}")
+        last, count = [""] * (len(raw) + 1), [0] * (len(raw) + 1)
+        for end, token in self.machine.iter(letters):
+            end += 1
+            if count[end]:
+                continue
+            start = end - len(token)
+            before = last[start]
+            fits = pairs.get((before, token))
+            if fits is None:
+                parts = [t.value for t in merge(before + token)]
+                fits = pairs[before, token] = parts == ([before, token] if before else [token])
+            if fits:
+                last[end], count[end] = token, count[start] + 1
+        if not all(count[1:]):
+            raise ValueError(f"no last token for {text!r}")
         if len(raw) == len(text):
             return count[1:]
         ends = [k for k in range(1, len(raw) + 1) if k == len(raw) or raw[k] & 0xC0 != 0x80]
         return [count[k] for k in ends]
 
+    def run(self, blanks: str) -> list[int]:
+        """The same for white space, which is often the same."""
+        found = self.runs.get(blanks)
+        if found is None:
+            found = self.piece(blanks)
+            if len(blanks) <= CACHE_LENGTH:
+                self.runs[blanks] = found
+        return found
+
     # --- the table of one stretch ---
 
     def __missing__(self, stretch: str) -> bytes:
         blank = RUN.match(self.classed(stretch)).end()
-        run, rest = stretch[:blank], stretch[blank:]
-        counts = self.piece(run) if run else []  # white space at the end of a prefix is one piece
+        blanks, rest = stretch[:blank], stretch[blank:]
+        counts = list(self.run(blanks)) if blanks else []  # white space at the end of a prefix is one piece
         if rest:
-            if run[-1:] == " ":
-                before, own = run[:-1], self.piece(" " + rest)[1:]
-                base = self.piece(before)[-1] if before else 0
+            if blanks[-1:] == " ":
+                own, base = self.piece(" " + rest)[1:], self.run(blanks[:-1])[-1] if blank > 1 else 0
             else:
-                base = self.piece(run[:-1])[-1] if len(run) > 1 else 0
-                base += self.piece(run[-1])[-1] if run else 0
-                if re.fullmatch(ENDING, rest) and len(rest) == 3:  # its first two characters are no ending yet
-                    own = [*self.piece(rest[0]), self.piece(rest[0])[-1] + self.piece(rest[1])[-1], self.piece(rest)[-1]]
-                else:
-                    own = self.piece(rest)
-            counts = counts + [base + c for c in own]
-        table = np.diff(np.array(counts, "<i4"), prepend=np.int32(0)).astype("<i4").tobytes()
+                base = self.run(blanks[:-1])[-1] if blank > 1 else 0
+                base += self.run(blanks[-1])[-1] if blanks else 0
+                own = self.piece(rest)
+                if len(rest) == 3 and rest in TWO_LETTER_ENDINGS:  # its first two characters are no ending yet
+                    own[1] = self.piece(rest[0])[-1] + self.piece(rest[1])[-1]
+            counts += [base + c for c in own] if base else own
+        table = array("i", map(sub, counts, [0, *counts])).tobytes()
         if len(stretch) <= CACHE_LENGTH:
             self[stretch] = table
         return table
@@ -170,6 +180,7 @@ class PrefixCounter(dict):
         """Counts of all prefixes of a text without added tokens."""
         if len(self) > CACHE_STRETCHES:
             self.clear()
+            self.runs.clear()
         return np.cumsum(np.frombuffer(b"".join(map(self.__getitem__, self.stretches(text))), "<i4"), dtype=np.int32)
 
     def counts(self, text: str) -> np.ndarray:
@@ -200,8 +211,12 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
     grows with the longest text and not with the number of texts. Ties cannot occur: a text has one encoding.
     """
 
+    kept_by_worker = docs.sparkSession.sparkContext.broadcast({})  # empty here: a worker keeps its tables from task to task
+
     def counted(batches):
-        counter = PrefixCounter(path)
+        counter = kept_by_worker.value.get(path)
+        if counter is None:
+            counter = kept_by_worker.value[path] = PrefixCounter(path)
         for batch in batches:
             for first in range(0, batch.num_rows, 64):
                 part = batch.slice(first, 64)
