@@ -69,8 +69,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "5"))
-    limit = float(os.environ.get("BENCH_SECONDS", "20"))
-    total = float(os.environ.get("BENCH_TOTAL", "1200"))
+    limit = float(os.environ.get("BENCH_SECONDS", "10"))
+    total = float(os.environ.get("BENCH_TOTAL", "1400"))
     spark = local_session(cores=cores, app="bench")
     settings = {"shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"), "spark": spark.version}
     times: dict[str, float] = {}
