@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from panelweave.llm.common import small, without_rows, written
 
-WIDTH = 1 << 12  # hashed features
+SHAPES = 1 << 12  # hashed features of word shapes, after the plain ones
+LEXICAL = 1 << 13  # hashed features of words and word pairs, after those
+PLAIN = 6  # features that are not hashed
+WIDTH = SHAPES + LEXICAL
 CACHE_WORDS = 300_000
 SYMBOLS = frozenset("#*$%&|<>{}[]\\^~=_")
 ABSTAIN, BAD, GOOD = 0, 1, 2
@@ -38,13 +41,14 @@ PROSE = np.array([0.05, 0.02, 0.08, 0.005, 0.05, 0.30, 0.02, 0.10, 0.01, 0.10, 0
 
 
 class WordFacts(dict):
-    """What is known of a word: (feature, capitals, symbols, ends in symbols, shouts, pipes, odd); kept for words met before."""
+    """What is known of a word: (shape, word, capitals, symbols, ends in symbols, shouts, pipes, odd); kept for words met before."""
 
     def __missing__(self, word: str) -> tuple:
         shape = "".join(dict.fromkeys("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word))
         letters = [c for c in word if c.isalpha()]
         found = (
-            zlib.crc32(shape.encode()) % (WIDTH - 8) + 8,
+            zlib.crc32(shape.encode()) % (SHAPES - PLAIN) + PLAIN,
+            zlib.crc32(word.lower().encode()),
             len(letters) > 1 and word.isupper(),
             sum(c in SYMBOLS for c in word),
             len(word) > 1 and word[-1] in SYMBOLS,
@@ -56,29 +60,34 @@ class WordFacts(dict):
         return found
 
 
-def measures(text: str, facts: WordFacts) -> tuple[np.ndarray, list[int], list[float]]:
-    """The labellers' measures of a text, and its hashed features: shapes of words and repetition, as shares."""
+def measures(text: str, facts: WordFacts) -> tuple[np.ndarray, list[float], list[int], list[int]]:
+    """(the labellers' measures, plain features, hashed features, their counts) of a text.
+
+    Hashed are the shapes of its words, the words in small letters and each two words in a row.
+    """
     if len(facts) > CACHE_WORDS:
         facts.clear()
     words = text.split()
     n = len(words)
     if not n:
-        return np.full(len(LABELLERS), np.nan), [0], [1.0]
+        return np.full(len(LABELLERS), np.nan), [1.0] + [0.0] * (PLAIN - 1), [], []
     table = np.array([facts[w] for w in words], np.int64)
-    same = sum(a == b for a, b in zip(words, words[1:], strict=False))
-    distinct = len(set(words))
+    same = sum(a == b for a, b in zip(words, words[1:], strict=False)) / n
     pairs = 1 - len(set(zip(words, words[1:], strict=False))) / (n - 1) if n > 1 else 0.0
+    variety = 1 - min(1.0, len(set(words)) / min(n, 30 + 0.45 * n))
     lines = [x for x in text.split("\n") if x and not x.isspace()]
     copies = 1 - len(set(lines)) / max(len(lines), 1) if len(lines) > 3 else 0.0
     mean = sum(map(len, words)) / n
-    share = table[:, 1:].sum(0) / n
-    expected = min(n, 30 + 0.45 * n)
-    each = np.array([share[1], share[2], share[0], share[3], same / n, 1 - min(1.0, distinct / expected), share[4], copies, max(3 - mean, mean - 11, 0.0), share[5], pairs])
+    capitals, symbols, marked, shouts, pipes, odd = (table[:, 2:].sum(0) / n).tolist()
+    each = np.array([symbols, marked, capitals, shouts, same, variety, pipes, copies, max(3 - mean, mean - 11, 0.0), odd, pairs])
     found = np.append(each, (each / PROSE).max())
-    shapes, counts = np.unique(table[:, 0], return_counts=True)
-    extra = {5: pairs, 1: same / n, 2: 1 - min(1.0, distinct / expected), 3: copies, 4: min(mean / 20, 1.0)}
     sure = n / (n + 10)  # a few words say little
-    return found, [0, *extra, *shapes.tolist()], [1.0, *(sure * x for x in extra.values()), *(sure * counts / n).tolist()]
+    plain = [1.0, *(sure * x for x in (same, variety, copies, min(mean / 20, 1.0), pairs))]
+    word = table[:, 1]
+    both = word[:-1] * 2_654_435_761 + word[1:]  # wraps around, as hashes may
+    hashed = np.concatenate([table[:, 0], SHAPES + word % LEXICAL, SHAPES + (both >> 13) % LEXICAL])
+    columns, counts = np.unique(hashed, return_counts=True)
+    return found, plain, columns.tolist(), counts.tolist()
 
 
 def votes(found: np.ndarray) -> int:
@@ -118,49 +127,63 @@ def fit_labellers(codes: np.ndarray, n: np.ndarray, rounds: int = 200) -> tuple[
     return float(prior), accuracy, good
 
 
-def fit_linear(rows: list[tuple[list[int], list[float]]], target: np.ndarray, rounds: int = 300, rate: float = 2.0, decay: float = 1e-4) -> np.ndarray:
+def spread(rows: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, value) of all features: plain ones as they are, hashed ones as shares, surer with more words."""
+    if isinstance(rows, pa.Table):
+        rows = rows.combine_chunks()
+    plain, columns, counts = (rows.column(c) for c in ("plain", "columns", "counts"))
+    n = rows.num_rows
+    row = np.repeat(np.arange(n), pa.compute.list_value_length(columns).to_numpy())
+    count = pa.compute.list_flatten(counts).to_numpy().astype(float)
+    words = np.bincount(row, count, n) / 3  # a shape, a word and a pair for each
+    column = np.concatenate([np.tile(np.arange(PLAIN), n), pa.compute.list_flatten(columns).to_numpy()])
+    value = np.concatenate([pa.compute.list_flatten(plain).to_numpy(), count / (words + 10)[row]])
+    return np.concatenate([np.repeat(np.arange(n), PLAIN), row]), column, value
+
+
+def fit_linear(features: tuple[np.ndarray, np.ndarray, np.ndarray], target: np.ndarray, rounds: int = 150, rate: float = 2.0, decay: float = 1e-4) -> np.ndarray:
     """Logistic regression of the posterior labels on hashed features, classes weighted alike, by accelerated gradient steps."""
-    w = np.zeros(WIDTH)
-    if not rows:
+    w, n = np.zeros(WIDTH), len(target)
+    if not n:
         return w
-    row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    column, value = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
+    row, column, value = features
     share = np.clip([1 - target.mean(), target.mean()], 0.02, 1)
-    weight = (target / share[1] + (1 - target) / share[0]) / (2 * len(rows))
+    weight = (target / share[1] + (1 - target) / share[0]) / (2 * n)
     ahead, last = w.copy(), w
     for k in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, value * ahead[column], len(rows)), -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, value * ahead[column], n), -30, 30)))
         w = ahead - rate * (np.bincount(column, value * (weight * (p - target))[row], WIDTH) + decay * ahead)
         ahead = w + (k - 1) / (k + 2) * (w - last)
         last = w
     return w
 
 
-def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = 20_000, threshold: float = 0.3) -> DataFrame:
+def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = 10_000, threshold: float = 0.3) -> DataFrame:
     """Per document: its text hash, the weak label's posterior, the scorer's probability of good, and `kept`.
 
     Every document's votes count towards the labellers' accuracies; the linear scorer is fitted on about
     fit_rows documents at most, chosen by hash of id and text, half of them likely bad where there are
-    as many. A text without words has no votes: posterior and score are the scorer's for an empty
-    text and it is rejected. Ids may be null or repeated; each row is scored by itself.
+    as many, on shapes of words, words and pairs of words. A text without words has no votes: posterior
+    and score are the scorer's for an empty text and it is rejected. Very long texts are read whole; what
+    is stored of one is its counts per feature. Ids may be null or repeated; each row is scored by itself.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[id_col]
-    names = ["code", "empty", "columns", "shares"]
+    names = ["code", "empty", "plain", "columns", "counts"]
 
     def look(batches):
         facts = WordFacts()
         for batch in batches:
             out = []
             for text in batch.column(text_col).to_pylist():
-                found, columns, shares = measures(text or "", facts)
-                out.append((votes(found), bool(np.isnan(found[0])), columns, shares))
-            kinds = [pa.int32(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.float32())]
-            arrays = [pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, kinds, strict=True)]
+                found, *features = measures(text or "", facts)
+                out.append((votes(found), bool(np.isnan(found[0])), *features))
+            kinds = [pa.int32(), pa.bool_(), pa.list_(pa.float32()), pa.list_(pa.int16()), pa.list_(pa.int32())]
+            arrays = [pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 5, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(id_col), batch.column("text_hash"), *arrays], [id_col, "text_hash", *names])
 
     rows = docs.select(id_col, F.xxhash64(text_col).alias("text_hash"), text_col)
-    rows = written(rows.mapInArrow(look, f"`{id_col}` {kind}, text_hash long, code int, empty boolean, columns array<int>, shares array<float>"), "votes")
+    rows = written(rows.mapInArrow(look, f"`{id_col}` {kind}, text_hash long, code int, empty boolean, plain array<float>, columns array<short>, counts array<int>"), "votes")
     patterns = rows.where("NOT empty").groupBy("code").agg(F.count("*").alias("n")).collect()  # 3^labellers at most
     codes, n = np.array([r["code"] for r in patterns], np.int64), np.array([r["n"] for r in patterns], float)
     good = fit_labellers(codes, n)[2] if len(codes) else np.zeros(0)
@@ -170,17 +193,16 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     place = F.pmod(F.xxhash64(id_col, "text_hash"), F.lit(1 << 40)) / float(1 << 40)
     likely = F.col("code").isin([c for c, g in posterior.items() if g >= 0.5])
     share = F.when(likely, F.lit(min(1.0, fit_rows / 2 / expected[True]))).otherwise(F.lit(min(1.0, fit_rows / 2 / expected[False])))
-    sample = rows.where(~F.col("empty") & (place < share)).select("code", "columns", "shares").toArrow()  # bounded by fit_rows
-    pairs = list(zip(sample.column("columns").to_pylist(), sample.column("shares").to_pylist(), strict=True))
-    weights = fit_linear(pairs, np.array([posterior[c] for c in sample.column("code").to_pylist()]))
+    sample = rows.where(~F.col("empty") & (place < share)).select("code", *names[2:]).toArrow()  # bounded by fit_rows
+    target = np.array([posterior[c] for c in sample.column("code").to_pylist()])
+    weights = fit_linear(spread(sample), target)
     shared = spark.sparkContext.broadcast((weights, posterior))  # a few thousand numbers
 
     def score(batches):
         w, known = shared.value
         for batch in batches:
-            columns, shares = batch.column("columns"), batch.column("shares")
-            size = pa.compute.list_value_length(columns).to_numpy()
-            total = np.bincount(np.repeat(np.arange(len(size)), size), shares.flatten().to_numpy() * w[columns.flatten().to_numpy()], len(size))
+            row, column, value = spread(batch)
+            total = np.bincount(row, value * w[column], batch.num_rows)
             p = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
             empty = batch.column("empty").to_numpy(zero_copy_only=False)
             weak = [known.get(c) for c in batch.column("code").to_pylist()]
@@ -189,7 +211,7 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return rows.mapInArrow(score, f"`{id_col}` {kind}, text_hash long, posterior double, score double, kept boolean")
 
 
-def without_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = 20_000, threshold: float = 0.3) -> DataFrame:
+def without_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = 10_000, threshold: float = 0.3) -> DataFrame:
     """The documents that the classifier keeps, all columns as they were."""
     found = quality_scores(docs, id_col, text_col, fit_rows, threshold).where("NOT kept").select(F.col(id_col).alias("_id"), "text_hash").distinct()
     rejected = small(written(found, "rejected"))

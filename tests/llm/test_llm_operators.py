@@ -574,6 +574,27 @@ def test_quality_classifier_against_given_labels(spark):
     assert found.where("quality = 1 AND NOT kept").count() <= 0.01 * found.where("quality = 1").count()
 
 
+def test_features_are_shapes_words_and_pairs():
+    facts = weaklabel.WordFacts()
+    text, other, turned = "the cat sat", "the dog sat", "cat the sat"
+    found = {t: dict(zip(*weaklabel.measures(t, facts)[2:], strict=True)) for t in (text, other, turned)}
+    assert all(sum(f.values()) == 3 + 3 + 2 for f in found.values())
+    parts = {t: [{c for c in f if (c >= weaklabel.SHAPES) is lexical} for lexical in (False, True)] for t, f in found.items()}
+    assert parts[text][0] == parts[other][0] == parts[turned][0] and min(parts[text][0]) >= weaklabel.PLAIN
+    assert len(parts[text][1] & parts[other][1]) == 2 and len(parts[text][1] & parts[turned][1]) == 3
+    assert max(max(f) for f in found.values()) < weaklabel.WIDTH
+    none = weaklabel.measures(" \n", facts)
+    assert np.isnan(none[0]).all() and none[1][0] == 1 and none[2:] == ([], [])
+
+
+def test_a_text_of_megabytes_is_scored_whole(spark):
+    long = PROSE * (2_000_000 // len(PROSE)) + "#$%& *** " * 200_000
+    df = spark.createDataFrame([(1, long), (2, PROSE), (3, "#$%& *** " * 60), (4, None), (5, "")], "doc_id long, text string")
+    found = {r.doc_id: r for r in weaklabel.quality_scores(df).collect()}
+    assert len(found) == 5 and all(0 <= r.score <= 1 for r in found.values())
+    assert found[1].posterior < 0.5 < found[2].posterior and not (found[4].kept or found[5].kept)
+
+
 def test_em_finds_a_labeller_that_guesses():
     rng = np.random.default_rng(1)
     k, truth = len(weaklabel.LABELLERS), rng.random(6000) < 0.7
