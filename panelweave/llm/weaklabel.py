@@ -16,6 +16,7 @@ LEXICAL = 1 << 13  # hashed features of words and word pairs, after those
 PLAIN = 6  # features that are not hashed
 WIDTH = SHAPES + LEXICAL
 CACHE_WORDS = 300_000
+ROWS = 256  # texts whose features are in memory at a time
 SYMBOLS = frozenset("#*$%&|<>{}[]\\^~=_")
 ABSTAIN, BAD, GOOD = 0, 1, 2
 
@@ -44,21 +45,30 @@ class WordFacts(dict):
     """What is known of a word: (shape, word, capitals, symbols, ends in symbols, shouts, pipes, odd); kept for words met before."""
 
     def __missing__(self, word: str) -> tuple:
-        shape = "".join(dict.fromkeys("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word))
-        letters = [c for c in word if c.isalpha()]
-        found = (
-            zlib.crc32(shape.encode()) % (SHAPES - PLAIN) + PLAIN,
-            zlib.crc32(word.lower().encode()),
-            len(letters) > 1 and word.isupper(),
-            sum(c in SYMBOLS for c in word),
-            len(word) > 1 and word[-1] in SYMBOLS,
-            "!!" in word,
-            word.count("|"),
-            not (word.isalpha() or word[:-1].isalpha()),
-        )
+        lower = zlib.crc32(word.lower().encode())
+        mark = word[-1] if word[-1] in ".," else ""
+        body = word[:-1] if mark else word
+        if body.isalpha() and body[1:].islower() and (body[0].islower() or body[0].isupper()):  # most words: what is below, sooner
+            found = (self.feature(("Aa" if body[0].isupper() else "a") + mark), lower, 0, 0, 0, 0, 0, 0)
+        else:
+            letters = [c for c in word if c.isalpha()]
+            found = (
+                self.feature("".join(dict.fromkeys("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word))),
+                lower,
+                len(letters) > 1 and word.isupper(),
+                sum(c in SYMBOLS for c in word),
+                len(word) > 1 and word[-1] in SYMBOLS,
+                "!!" in word,
+                word.count("|"),
+                not (word.isalpha() or word[:-1].isalpha()),
+            )
         self[word] = found
         return found
 
+    @staticmethod
+    def feature(shape: str) -> int:
+        return zlib.crc32(shape.encode()) % (SHAPES - PLAIN) + PLAIN
+
 
 def measures(text: str, facts: WordFacts) -> tuple[np.ndarray, list[float], list[int], list[int]]:
     """(the labellers' measures, plain features, hashed features, their counts) of a text.
@@ -71,23 +81,25 @@ def measures(text: str, facts: WordFacts) -> tuple[np.ndarray, list[float], list
     n = len(words)
     if not n:
         return np.full(len(LABELLERS), np.nan), [1.0] + [0.0] * (PLAIN - 1), [], []
-    table = np.array([facts[w] for w in words], np.int64)
-    same = sum(a == b for a, b in zip(words, words[1:], strict=False)) / n
-    pairs = 1 - len(set(zip(words, words[1:], strict=False))) / (n - 1) if n > 1 else 0.0
-    variety = 1 - min(1.0, len(set(words)) / min(n, 30 + 0.45 * n))
+    place = {w: k for k, w in enumerate(dict.fromkeys(words))}
+    at = np.fromiter(map(place.__getitem__, words), np.int64, n)
+    table = np.array([facts[w] for w in place], np.int64)
+    shape, word, times = table[at, 0], table[at, 1], np.bincount(at)
+    same = float((at[1:] == at[:-1]).sum()) / n
+    pairs = 1 - len(np.unique(at[:-1] * n + at[1:])) / (n - 1) if n > 1 else 0.0
+    variety = 1 - min(1.0, len(place) / min(n, 30 + 0.45 * n))
     lines = [x for x in text.split("\n") if x and not x.isspace()]
     copies = 1 - len(set(lines)) / max(len(lines), 1) if len(lines) > 3 else 0.0
     mean = sum(map(len, words)) / n
-    capitals, symbols, marked, shouts, pipes, odd = (table[:, 2:].sum(0) / n).tolist()
+    capitals, symbols, marked, shouts, pipes, odd = (times @ table[:, 2:] / n).tolist()
     each = np.array([symbols, marked, capitals, shouts, same, variety, pipes, copies, max(3 - mean, mean - 11, 0.0), odd, pairs])
     found = np.append(each, (each / PROSE).max())
     sure = n / (n + 10)  # a few words say little
     plain = [1.0, *(sure * x for x in (same, variety, copies, min(mean / 20, 1.0), pairs))]
-    word = table[:, 1]
     both = word[:-1] * 2_654_435_761 + word[1:]  # wraps around, as hashes may
-    hashed = np.concatenate([table[:, 0], SHAPES + word % LEXICAL, SHAPES + (both >> 13) % LEXICAL])
-    columns, counts = np.unique(hashed, return_counts=True)
-    return found, plain, columns.tolist(), counts.tolist()
+    counts = np.bincount(np.concatenate([shape, SHAPES + word % LEXICAL, SHAPES + (both >> 13) % LEXICAL]), minlength=WIDTH)
+    columns = np.flatnonzero(counts)
+    return found, plain, columns.tolist(), counts[columns].tolist()
 
 
 def votes(found: np.ndarray) -> int:
@@ -127,6 +139,13 @@ def fit_labellers(codes: np.ndarray, n: np.ndarray, rounds: int = 200) -> tuple[
     return float(prior), accuracy, good
 
 
+def slices(batches):
+    """The rows in smaller batches: the features of a few hundred texts are in memory at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, ROWS):
+            yield batch.slice(k, ROWS)
+
+
 def spread(rows: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, column, value) of all features: plain ones as they are, hashed ones as shares, surer with more words."""
     if isinstance(rows, pa.Table):
@@ -171,16 +190,20 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kind = dict(docs.dtypes)[id_col]
     names = ["code", "empty", "plain", "columns", "counts"]
 
+    def packed(parts: list, kind) -> pa.ListArray:
+        ends = np.cumsum([0, *map(len, parts)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, kind), *parts]).astype(kind)))
+
     def look(batches):
         facts = WordFacts()
-        for batch in batches:
+        for part in slices(batches):
             out = []
-            for text in batch.column(text_col).to_pylist():
+            for text in part.column(text_col).to_pylist():
                 found, *features = measures(text or "", facts)
                 out.append((votes(found), bool(np.isnan(found[0])), *features))
-            kinds = [pa.int32(), pa.bool_(), pa.list_(pa.float32()), pa.list_(pa.int16()), pa.list_(pa.int32())]
-            arrays = [pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 5, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), batch.column("text_hash"), *arrays], [id_col, "text_hash", *names])
+            code, empty, *features = zip(*out, strict=True)
+            arrays = [pa.array(code, pa.int32()), pa.array(empty), *map(packed, features, (np.float32, np.int16, np.int32))]
+            yield pa.RecordBatch.from_arrays([part.column(id_col), part.column("text_hash"), *arrays], [id_col, "text_hash", *names])
 
     rows = docs.select(id_col, F.xxhash64(text_col).alias("text_hash"), text_col)
     rows = written(rows.mapInArrow(look, f"`{id_col}` {kind}, text_hash long, code int, empty boolean, plain array<float>, columns array<short>, counts array<int>"), "votes")
@@ -200,7 +223,7 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def score(batches):
         w, known = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             row, column, value = spread(batch)
             total = np.bincount(row, value * w[column], batch.num_rows)
             p = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
