@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -99,7 +100,7 @@ def observed_ages(long: DataFrame, keys: Sequence[str], words: int = WORDS) -> D
 
 
 def window_counts(observed: DataFrame, hidden: str = HIDDEN) -> DataFrame:
-    """Persons per age window; `observed` has study, name, value and the sorted `ages` of a person.
+    """Persons per age window; `observed` has study, name, value and the sorted `ages` of a person, or of `n` persons.
 
     A person counts in a window once, by the first observation inside it: an observation at age
     `fup` whose predecessor is at age `previous` is the first one of the windows with
@@ -109,8 +110,9 @@ def window_counts(observed: DataFrame, hidden: str = HIDDEN) -> DataFrame:
     steps = F.transform(
         "ages", lambda age, i: F.struct(F.get("ages", i - 1).alias("previous"), age.cast("int").alias("fup"))
     )
-    pairs = observed.select("study", "name", "value", F.inline(steps))
-    counted = pairs.groupBy("study", "name", "value", "previous", "fup").agg(F.count("*").alias("n"))
+    many = F.col("n") if "n" in observed.columns else F.lit(1).cast("long")
+    pairs = observed.select("study", "name", "value", many.alias("n"), F.inline(steps))
+    counted = pairs.groupBy("study", "name", "value", "previous", "fup").agg(F.sum("n").alias("n"))
     # One row of bounds over these counts, as a scalar subquery on the same aggregate.
     bounds = counted.agg(F.struct(F.min("fup").alias("first"), F.max("fup").alias("last"))).scalar()
     bounded = counted.withColumn("bounds", bounds).select("*", "bounds.*").drop("bounds")
@@ -134,12 +136,21 @@ def ever_in_window(long: DataFrame, first: int | None = None, last: int | None =
     return window_counts(ages_observed(observation_masks(long, keys, first, last), first, last), hidden)
 
 
-def values_ever_in_window(values: DataFrame, hidden: str = HIDDEN) -> DataFrame:
-    """The same from `responder_values`."""
+def persons_by_ages(values: DataFrame) -> DataFrame:
+    """Persons with each value of `responder_values` at just the same ages: study, name, value, sorted `ages`, n.
+
+    The ages are bits while persons are counted, so as many rows remain as sets of ages occur.
+    """
     sweeps = [c for c in values.columns if c not in ("study", "iid", "name", "value")]
-    counts = F.array(*sweeps)
-    ages = F.filter(sweep_ages(), lambda age, i: F.get(counts, i) > 0)
-    return window_counts(values.select("study", "name", "value", ages.alias("ages")), hidden)
+    bits = reduce(Column.__add__, [F.when(F.col(c) > 0, F.lit(1 << j)).otherwise(F.lit(0)).cast("long") for j, c in enumerate(sweeps)])
+    counted = values.select("study", "name", "value", bits.alias("seen")).groupBy("study", "name", "value", "seen").agg(F.count("*").alias("n"))
+    ages = F.filter(sweep_ages(), lambda age, i: F.call_function("getbit", F.col("seen"), i) == 1)
+    return counted.select("study", "name", "value", ages.alias("ages"), "n")
+
+
+def values_ever_in_window(values: DataFrame, hidden: str = HIDDEN) -> DataFrame:
+    """The same from `responder_values`, or from its persons counted by ages."""
+    return window_counts(values if "ages" in values.columns else persons_by_ages(values), hidden)
 
 
 def published(counts: DataFrame, *keys: str, code: bool = False) -> DataFrame:
