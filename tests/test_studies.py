@@ -207,3 +207,50 @@ def test_panel_of_all_studies(spark):
     rows = {r.study: (r.n, r.persons) for r in panel.groupBy("study").agg(F.count("*").alias("n"), F.count_distinct("iid").alias("persons")).collect()}
     assert set(rows) == {"mcs", "next_steps", "bcs70", "ncds"}
     assert all(n > persons > 0 for n, persons in rows.values())
+
+
+def test_classes_of_persons_give_the_rows_of_all(spark, tmp_path, monkeypatch):
+    """Cut into classes, the tables are the same, and nothing but their results stays on the disk."""
+    from panelweave.plans import ncds
+    from panelweave.sources import store as stored
+    from panelweave.workload import survey_inputs
+
+    keys = [(i * 7, i) for i in range(60)] + [(7, 1), (None, 3)]
+    spark.createDataFrame(keys, "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(1, 1, 1, 1)], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(stored, "shared_folder", lambda spark: str(tmp_path / "shared"))
+    monkeypatch.setattr(ncds, "RULES", [ncds.sex, ncds.marstat])
+
+    def rows(class_rows):
+        monkeypatch.setattr(survey_inputs, "OTHER_CLASS_ROWS", class_rows)
+        found = survey_inputs.in_classes(spark, str(tmp_path), lambda s: counts.count_values_by_sweep(panel.responder_values(s)), ("ncds",))
+        return sorted(map(str, survey_inputs.summed(found).collect()))
+
+    whole = rows(10**6)
+    assert whole and rows(120) == whole
+    left = {p.parent.name.split("-")[0].split("_")[0] for p in (tmp_path / "shared").rglob("part-*") if p.stat().st_size > 2000}
+    assert left <= {"classes"}
+
+
+def test_responders_meet_their_tables_without_shuffling_the_entries(spark, monkeypatch):
+    """What is stored by person is not shuffled again to be counted by person."""
+    frames = {"w/a": spark.createDataFrame([("p", 1.0, 1.0), ("q", 2.0, 1.0)], "ID string, A double, R double")}
+    files = SurveyFiles.from_frames(frames)
+    from panelweave.sources.joined import joined_once
+
+    once = joined_once(spark, files, "id", [lambda f: f.load("w/a", "^ID$")])
+    df = once.load("w/a", "^ID$")
+    one = df.selectExpr("id AS pid", "CASE WHEN a = 1 THEN 'Male' ELSE 'Female' END AS sex")
+    two = df.selectExpr("id AS pid", "5 AS fup", "'Sikh' AS religion")
+    response = df.selectExpr("id AS pid", "5 AS fup", "id AS iid")
+    values = panel.responder_values([Study("bcs70", ["pid"], df.selectExpr("id AS pid"), response, {"sex": one, "religion": two})])
+    assert "Exchange" not in values._jdf.queryExecution().executedPlan().toString().replace("AQEShuffleRead", "")
+    assert sorted((r.iid, r.name, r.value) for r in values.collect() if r.name != "response") == [("p", "religion", "Sikh"), ("p", "sex", "Male"), ("q", "religion", "Sikh"), ("q", "sex", "Female")]
+
+
+def test_windows_from_persons_counted_by_ages(spark):
+    values = panel.responder_values([study_with_ties(spark)])
+    by_ages = counts.persons_by_ages(values)
+    assert {(r.name, r.value, tuple(r.ages), r.n) for r in by_ages.collect()} >= {("response", "Yes", (0, 5, 26), 1), ("response", "Yes", (5,), 1)}
+    whole, counted = (sorted(map(str, counts.values_ever_in_window(v).collect())) for v in (values, by_ages))
+    assert whole == counted
