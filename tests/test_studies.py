@@ -232,6 +232,56 @@ def test_classes_of_persons_give_the_rows_of_all(spark, tmp_path, monkeypatch):
     assert left <= {"classes"}
 
 
+def test_a_class_reads_its_part_of_the_given_tables(spark, tmp_path, monkeypatch):
+    """The tables are cut by person once; a class finds all its rows, those without a person too, in its parts."""
+    from panelweave.sources import store as stored
+    from panelweave.sources.joined import one_class
+    from panelweave.workload import survey_inputs
+
+    orders = [(i, i % 7) for i in range(40)] + [(3, 9), (3, 9), (None, 1)]
+    lines = [(i % 40, i % 3 + 1, i, i + 1) for i in range(90)] + [(None, 1, 4, 4), (5, None, 4, 4)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(stored, "shared_folder", lambda spark: str(tmp_path / "shared"))
+    given = survey_inputs.cut_by_person(spark, str(tmp_path), 4)
+    shares = [given(which, 4) for which in range(4)]
+    assert sorted(str(tuple(r)) for o, _ in shares for r in o.collect()) == sorted(str(r) for r in orders)
+    assert max(line.count() for _, line in shares) < len(lines)
+    path = "17y/mcs7_cm_interview"
+    for of in (2, 4, 8):
+        for which in range(of):
+            whole, cut = (one_class(survey_inputs.survey_files(spark, str(tmp_path), "mcs", g), "mcsid", which, of).open(path) for g in (None, given(which, of)))
+            assert sorted(map(str, whole.collect())) == sorted(map(str, cut.collect()))
+
+
+def test_two_studies_at_a_time_in_classes(spark, tmp_path, monkeypatch):
+    """Cut into classes, the disk holds what two studies need; the parts of the given tables go at the end."""
+    import threading
+
+    from panelweave.plans import bcs70, ncds, next_steps
+    from panelweave.sources import store as stored
+    from panelweave.workload import survey_inputs
+
+    keys = [(i, i % 5) for i in range(60)]
+    spark.createDataFrame(keys, "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(1, 1, 1, 1)], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(stored, "shared_folder", lambda spark: str(tmp_path / "shared"))
+    monkeypatch.setattr(survey_inputs, "OTHER_CLASS_ROWS", 200)
+    for plan in (bcs70, ncds, next_steps):
+        monkeypatch.setattr(plan, "RULES", [plan.marstat])
+    threads = set()
+
+    def work(studies):
+        threads.add(threading.get_ident())
+        return studies[0].sample.select("iid")
+
+    found = survey_inputs.in_classes(spark, str(tmp_path), work, ("next_steps", "bcs70", "ncds"))
+    assert sorted(r.iid for r in found.collect()) == sorted(f"P{i}" for i, _ in keys for _ in range(3))
+    assert len(threads) <= 2
+    given = [p for p in (tmp_path / "shared").glob("given-*/part=*/*.parquet")]
+    assert (tmp_path / "shared").exists() and not given
+
+
 def test_responders_meet_their_tables_without_shuffling_the_entries(spark, monkeypatch):
     """What is stored by person is not shuffled again to be counted by person."""
     frames = {"w/a": spark.createDataFrame([("p", 1.0, 1.0), ("q", 2.0, 1.0)], "ID string, A double, R double")}
