@@ -111,3 +111,26 @@ def test_full_join_with_a_common_null_key(spark, split_hot):
     assert joined.columns == ["id", "at", "x", "y"] and joined.count() == 50 + 150 + 1
     assert joined.where("id IS NULL AND y = -1").count() == 50 and joined.where("x IS NULL").count() == 51
     assert joined.where("y IS NULL").count() == 50 and joined.where("id IS NULL AND at IS NULL AND y = -2").count() == 1
+
+
+def test_a_full_join_of_tables_stored_by_person(spark):
+    left = spark.createDataFrame([("p", 1, "a"), ("p", 1, "b"), ("p", None, "c"), ("q", 2, "d"), (None, 1, "e")], "pid string, at int, x string")
+    right = spark.createDataFrame([("p", 1, "A"), ("p", None, "C"), ("p", 3, "D"), ("r", 1, "E"), (None, 2, "F")], "pid string, at int, y string")
+    keys = ["pid", "at"]
+    plain, stored = (sorted(map(str, joins.full_join(left, right, keys, stored_by=by).collect())) for by in (None, "pid"))
+    assert stored == plain
+    kept = joins.null_safe_join(left, right, keys, "left", stored_by="pid")
+    assert sorted(map(str, kept.where("pid IS NOT NULL").collect())) == sorted(map(str, joins.null_safe_join(left, right, keys, "left").where("pid IS NOT NULL").collect()))
+
+
+def test_unpivoted_rows_stay_where_they_are(spark):
+    df = spark.createDataFrame([("a", 1, 2.5, None), ("b", None, 3.0, 4)], "id string, x int, `y z` double, w long").repartition(3, "id")
+    long = reshape.unpivot(df, ["id"])
+    assert sorted(map(tuple, long.collect()), key=str) == sorted([("a", "x", 1.0), ("a", "y z", 2.5), ("a", "w", None), ("b", "x", None), ("b", "y z", 3.0), ("b", "w", 4.0)], key=str)
+    assert long.groupBy("id").count()._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_few_copies_make_no_lists_and_many_do(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 1000), ("c", 2500), ("d", 0), ("e", None)], "id string, n long")
+    got = {r.id: (r["count"], r.last) for r in reshape.deal_copies(df, "n", "i").groupBy("id").agg(F.count("*").alias("count"), F.max("i").alias("last")).collect()}
+    assert got == {"a": (1, 1), "b": (1000, 1000), "c": (2500, 2500)}

@@ -304,3 +304,30 @@ def test_windows_from_persons_counted_by_ages(spark):
     assert {(r.name, r.value, tuple(r.ages), r.n) for r in by_ages.collect()} >= {("response", "Yes", (0, 5, 26), 1), ("response", "Yes", (5,), 1)}
     whole, counted = (sorted(map(str, counts.values_ever_in_window(v).collect())) for v in (values, by_ages))
     assert whole == counted
+
+
+def test_what_is_done_by_person_needs_no_shuffle(spark, tmp_path, monkeypatch):
+    """From the stored given tables on, files, rules and responders of all studies stay in their buckets of persons."""
+    from panelweave.plans import mcs, ncds, next_steps
+    from panelweave.sources import store as stored
+    from panelweave.workload import survey_inputs
+
+    spark.createDataFrame([(i, i % 5) for i in range(60)], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    lines = [(i % 60, i % 3 + 1, i, i + 1) for i in range(150)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(stored, "shared_folder", lambda spark: str(tmp_path / "shared"))
+    monkeypatch.setattr(ncds, "RULES", [ncds.sex, ncds.social_class])
+    monkeypatch.setattr(next_steps, "RULES", [next_steps.sex, next_steps.sexuality, next_steps.religion])
+    monkeypatch.setattr(mcs, "RULES", [mcs.gender, mcs.fsm])
+    plans = {}
+
+    def work(studies):
+        plans[studies[0].name] = "".join(f(studies)._jdf.queryExecution().executedPlan().toString() for f in (panel.responder_values, panel.responder_table))
+        return counts.count_values_by_sweep(panel.responder_values(studies))
+
+    names = ("ncds", "next_steps", "mcs")
+    monkeypatch.setattr(survey_inputs, "BUCKET_ROWS", {"orders": 10, "lineitem": 30})
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = survey_inputs.in_classes(spark, str(tmp_path), work, names)
+    assert found.count() and spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert {name: plan.count("Exchange hashpartitioning") for name, plan in plans.items()} == dict.fromkeys(names, 0)
